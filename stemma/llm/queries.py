@@ -4,8 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from stemma.llm.canonical import canonicalise
 from stemma.llm.tokens import encode_texts
-from stemma.sources.tables import table
+from stemma.sources.tables import broadcast_checked, table
+
+
+def _references(spark: SparkSession, d: str) -> DataFrame:
+    countries = table(spark, d, "country_ref").select(F.lit("collectingcountry").alias("field_name"), F.col("country_id").alias("ref_id"), F.col("country_name").alias("name"), F.col("also_called").alias("others"), F.array("code_two", "code_three").alias("codes"))
+    ranks = table(spark, d, "rank_ref").select(F.lit("taxon_rank").alias("field_name"), F.col("rank_id").alias("ref_id"), F.col("rank_name").alias("name"), F.col("also_written").alias("others"), F.array().cast("array<string>").alias("codes"))
+    return countries.unionByName(ranks)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The entry that each freely typed country and rank means, or -1."""
+    countries = table(spark, d, "materials").select(F.lit("collectingcountry").alias("field_name"), F.col("row_id").alias("row_key"), F.col("collectingcountry").alias("value"))
+    ranks = table(spark, d, "taxon_names").select(F.lit("taxon_rank").alias("field_name"), F.col("name_row_id").alias("row_key"), F.col("taxon_rank").alias("value"))
+    refs = _references(spark, d)
+    found = canonicalise(countries.unionByName(ranks), refs)
+    exact = refs.select("field_name", F.col("name").alias("value"))
+    return found.join(broadcast_checked(exact), ["field_name", "value"], "left_anti").select("field_name", "row_key", "ref_id")
 
 
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -13,5 +32,5 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_texts(table(spark, d, "documents"))
 
 
-QUERIES = {"p6_ids": p6_ids}
+QUERIES = {"p4_found": p4_found, "p6_ids": p6_ids}
 SQL: dict[str, str] = {}
