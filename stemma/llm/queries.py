@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.llm.canonical import canonicalise
+from stemma.llm.leaks import leaked
 from stemma.llm.quality import quality_stats
 from stemma.llm.tokens import encode_texts
 from stemma.sources.tables import broadcast_checked, table
@@ -33,6 +34,11 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_texts(table(spark, d, "documents"))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """The documents that hold evaluation passages, with the items they reveal."""
+    return leaked(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+
+
 def p8_stats(spark: SparkSession, d: str) -> DataFrame:
     """The text quality statistics of every document."""
     return quality_stats(table(spark, d, "documents"))
@@ -43,5 +49,5 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_stats(spark, d).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
 
 
-QUERIES = {"p4_found": p4_found, "p6_ids": p6_ids, "p8_found": p8_found, "p8_stats": p8_stats}
+QUERIES = {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_stats": p8_stats}
 SQL: dict[str, str] = {}
