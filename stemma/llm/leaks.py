@@ -235,50 +235,62 @@ def latent_space(tokens: DataFrame, passages: Passages, weights: np.ndarray, ran
     return np.linalg.qr(total.astype(np.float64))[0].astype(np.float32)
 
 
-def stretches(doc: np.ndarray, passage: np.ndarray, weights: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(doc start, doc end, passage start, passage end) of the runs of words that a
-    document shares with a passage: each next word of the document is the next of the
-    passage, or follows up to MISSING left out. Runs of fewer than two words or without a
-    weighted one are chance."""
-    where: dict[int, list[int]] = {}
-    for j, t in enumerate(passage.tolist()):
-        where.setdefault(t, []).append(j)
-    at = np.flatnonzero(np.isin(doc, passage))
-    out, before, last = [], {}, -2
-    for i, t in zip(at.tolist(), doc[at].tolist()):
-        heavy = bool(weights[t] > 0)
+class Steps:
+    """The steps of a passage from a word to the next, or past up to MISSING left out: by
+    the code of both terms, the places in the passage."""
+
+    def __init__(self, passage: np.ndarray, size: int, weights: np.ndarray):
+        self.places: dict[int, list[tuple[int, int]]] = {}
+        terms = passage.tolist()
+        for j, t in enumerate(terms):
+            for k in range(j + 1, min(j + 2 + MISSING, len(terms))):
+                self.places.setdefault(t * size + terms[k], []).append((j, k))
+        self.codes = np.array(sorted(self.places) or [-1], np.int64)
+        self.heavy = [bool(weights[t] > 0) for t in terms]
+
+
+def step_codes(doc: np.ndarray, size: int) -> np.ndarray:
+    """The codes of a document's neighbouring words; -1 where one is in no passage."""
+    a, b = doc[:-1].astype(np.int64), doc[1:].astype(np.int64)
+    return np.where((a >= 0) & (b >= 0), a * size + b, -1)
+
+
+def stretches(codes: np.ndarray, steps: Steps) -> list[tuple[int, int, int, int]]:
+    """(doc start, doc end, passage start, passage end) of the runs of neighbouring words of
+    a document that are steps of the passage. Runs without a weighted word are chance."""
+    found = np.minimum(np.searchsorted(steps.codes, codes), len(steps.codes) - 1)
+    at = np.flatnonzero((steps.codes[found] == codes) & (codes >= 0))
+    out, before, last, heavy = [], {}, -2, steps.heavy
+    for i, code in zip(at.tolist(), codes[at].tolist()):
         if i != last + 1:
             out += before.values()
             before = {}
         now, taken = {}, set()
-        for j in where[t]:
-            best = None
-            for k in range(j - 1, j - 2 - MISSING, -1):
-                r = before.get(k)
-                if r and (best is None or r[4] > best[4]):
-                    best = r
-            if best:
-                taken.add(best[3])
-                now[j] = (best[0], i, best[2], j, best[4] + 1, best[5] or heavy)
+        for j, k in steps.places[code]:
+            r = before.get(j)
+            if r:
+                taken.add(j)
+                made = (r[0], i + 1, r[2], k, r[4] + 1, r[5] or heavy[k])
             else:
-                now[j] = (i, i, j, j, 1, heavy)
+                made = (i, i + 1, j, k, 2, heavy[j] or heavy[k])
+            if k not in now or made[4] > now[k][4]:
+                now[k] = made
         out += [r for k, r in before.items() if k not in taken]
         before, last = now, i
     out += before.values()
-    return sorted(r[:4] for r in out if r[4] >= 2 and r[5])
+    return sorted(r[:4] for r in out if r[5])
 
 
-def common_run(doc: np.ndarray, passage: np.ndarray, weights: np.ndarray) -> int:
+def common_run(codes: np.ndarray, steps: Steps) -> int:
     """The most words of a passage that stand in sequence in a document: the longest chain
     of stretches that go on where the last one ended, with up to BETWEEN words of other cues
-    between. This is a longest common subsequence whose gaps
-    are bounded: a word replaced by another ends a stretch, so texts after one pattern do not chain."""
-    runs, chain, best = stretches(doc, passage, weights), [], 0
-    for di, dj, pi, pj in runs:
+    between. This is a longest common subsequence whose gaps are bounded: a word replaced by
+    another ends a stretch, so texts after one pattern do not chain."""
+    chain, best = [], 0
+    for di, dj, pi, pj in stretches(codes, steps):
         total = pj - pi + 1
         for _, ej, ep, t in chain:
-            gap, skip = pi - ep - 1, di - ej - 1
-            if -2 <= gap <= 0 and 1 <= skip <= BETWEEN and pj > ep:
+            if -2 <= pi - ep - 1 <= 0 and 1 <= di - ej - 1 <= BETWEEN and pj > ep:
                 total = max(total, t + pj - max(ep, pi - 1))
         chain.append((di, dj, pj, total))
         best = max(best, total)
@@ -313,6 +325,7 @@ def _leaked_block(documents: DataFrame, block: list, key: str, text: str, least:
     owner, *entries = windows(passages.sequences, weights)
     chunk = unit(dense(*entries, basis))
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])  # a passage's chunks stand together
+    steps = [Steps(s, len(weights), weights) for s in passages.sequences]
     # no run of ``least`` words has less weight than this; half of it may be lost to damage
     runs = [np.convolve(weights[s], np.ones(min(least, len(s))), "valid").min() for s in passages.sequences if len(s)]
     floor = 0.5 * min(runs, default=0.0)
@@ -328,8 +341,11 @@ def _leaked_block(documents: DataFrame, block: list, key: str, text: str, least:
                 near = np.maximum.reduceat(x[lo : lo + 4096] @ chunk.T, first, axis=1)
                 r, c = np.nonzero(near >= COSINE)
                 pairs.update(zip(who[lo + r].tolist(), owner[first[c]].tolist()))
+            last = None
             for k, item in sorted((rich[k], item) for k, item in pairs):
-                words = common_run(seqs[k], passages.sequences[item], weights)
+                if k != last:
+                    last, codes = k, step_codes(seqs[k], len(weights))
+                words = common_run(codes, steps[item])
                 if words >= least:
                     out.append((b["doc_id"].iloc[k], passages.item_ids[item], words))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "words"])
