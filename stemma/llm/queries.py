@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from stemma.llm.canonical import canonicalise
 from stemma.llm.leaks import leaked
+from stemma.llm.names import link_names
 from stemma.llm.quality import quality_stats
 from stemma.llm.tokens import encode_texts
-from stemma.sources.tables import broadcast_checked, table
+from stemma.operators.pairs import pairs_within
+from stemma.sources.tables import broadcast_checked, cut, table
 
 
 def _references(spark: SparkSession, d: str) -> DataFrame:
@@ -19,6 +21,17 @@ def _references(spark: SparkSession, d: str) -> DataFrame:
     return countries.unionByName(ranks)
 
 
+def p1_entities(spark: SparkSession, d: str) -> DataFrame:
+    """The entity of every spelling of a collector."""
+    return link_names(table(spark, d, "collector_names")).select(F.col("id").alias("name_id"), F.col("entity").alias("entity_id"))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every pair of spellings of one collector."""
+    found = pairs_within(cut(p1_entities(spark, d)), "entity_id", "name_id")
+    return found.select(F.col("left").alias("name_id_a"), F.col("right").alias("name_id_b"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """The entry that each freely typed country and rank means, or -1."""
     countries = table(spark, d, "materials").select(F.lit("collectingcountry").alias("field_name"), F.col("row_id").alias("row_key"), F.col("collectingcountry").alias("value"))
@@ -49,5 +62,5 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_stats(spark, d).where("doc_kind <> 'prose'").select("doc_id", "doc_kind")
 
 
-QUERIES = {"p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_stats": p8_stats}
+QUERIES = {"p1_found": p1_found, "p1_entities": p1_entities, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p8_found": p8_found, "p8_stats": p8_stats}
 SQL: dict[str, str] = {}
