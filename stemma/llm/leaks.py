@@ -2,7 +2,8 @@
 
 1. Texts and passages become sequences of term ids over the passages' vocabulary, under a
    fold that letters confused by scanners share.
-2. TF-IDF weights come from the document frequencies of all documents.
+2. TF-IDF weights come from the document frequencies of all documents, of words outside of
+   passage-like pairs.
 3. Windows of weighted terms of all documents and passages form a matrix A; its leading
    right singular space is found by a distributed randomised range finder: every partition
    adds up its part of A'(A W) for one fixed random W.
@@ -133,15 +134,27 @@ def token_rows(documents: DataFrame, terms: dict, key: str, text: str) -> DataFr
     return documents.where(F.col(key).isNotNull() & (F.length(text) > 0)).select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text")).mapInPandas(work, "doc_id long, ids binary")
 
 
-def document_frequencies(tokens: DataFrame, size: int) -> tuple[int, np.ndarray]:
-    """The number of documents, and of those with each term: one vector per partition is added up."""
+def document_frequencies(tokens: DataFrame, size: int, codes: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of documents, and of those with each term outside of passage-like word
+    pairs: one vector per partition is added up.
+
+    A term counts only where neither neighbour goes on as in a passage (``codes``: the sorted
+    codes of the passages' neighbouring words). So the words of a passage that stands in a
+    third of all documents keep their weight, and words of common speech lose theirs.
+    """
 
     def work(batches):
         n, total = 0, np.zeros(size, np.int64)
         for b in batches:
             for raw in b["ids"]:
-                seen = np.unique(np.frombuffer(raw, np.int32))
-                total[seen[seen >= 0]] += 1
+                doc = np.frombuffer(raw, np.int32)
+                own = step_codes(doc, size)
+                at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+                pair = (codes[at] == own) & (own >= 0)
+                alone = doc >= 0
+                alone[:-1] &= ~pair
+                alone[1:] &= ~pair
+                total[np.unique(doc[alone])] += 1
                 n += 1
         yield pd.DataFrame({"n": [n], "term": [None], "df": [None]})
         at = np.flatnonzero(total)
@@ -155,7 +168,7 @@ def document_frequencies(tokens: DataFrame, size: int) -> tuple[int, np.ndarray]
             n = r.n
         else:
             out[r.term] = r.df
-    return int(n), out
+    return int(n or 0), out
 
 
 def windows(sequences: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -319,7 +332,8 @@ def leaked(documents: DataFrame, items: DataFrame, key: str = "doc_id", text: st
 def _leaked_block(documents: DataFrame, block: list, key: str, text: str, least: int) -> DataFrame:
     passages = Passages.of(block)
     tokens = cut(token_rows(documents, passages.terms, key, text))
-    n, df = document_frequencies(tokens, len(passages.terms))
+    pairs = np.unique(np.concatenate([step_codes(s, len(passages.terms)) for s in passages.sequences if len(s) > 1] or [np.array([-2])]))
+    n, df = document_frequencies(tokens, len(passages.terms), pairs)
     weights = np.where(df <= COMMON_SHARE * n, np.log((n + 1) / (df + 1)), 0.0) if n else np.ones(len(df))
     basis = latent_space(tokens, passages, weights)
     owner, *entries = windows(passages.sequences, weights)
