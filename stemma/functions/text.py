@@ -249,10 +249,11 @@ def publication_uri(doi: Column, source: Column, master: Column, host: str = DEF
     )
 
 
-def material_uri(mc_id: Column, occurrence: Column, http_uri: Column, specimen: Column, doc_id: Column, host: str = DEFAULT_HOST) -> Column:
+def material_uri(mc_id: Column, occurrence: Column, http_uri: Column, specimen: Column, doc_id: Column, host: str = DEFAULT_HOST, base: str | None = None) -> Column:
     """The address of a cited material: id, else occurrence, else link, else treatment and
-    specimen code; null (no subject, a warning instead) if it has none of id, link and code."""
-    return F.when(present(mc_id) | present(http_uri) | present(specimen), F.when(present(mc_id), uri(F.concat(F.lit(f"http://tb.{host}/GgServer/dwcaRecords/"), doc_id, F.lit(".mc."), mc_id))).when(present(occurrence), uri(F.concat(F.lit("https://www.gbif.org/occurrence/"), occurrence))).when(present(http_uri), uri(http_uri)).otherwise(uri(F.concat(F.lit(f"http://treatment.{host}/id/"), doc_id, F.lit("/"), partial_uri(specimen)), "_")))
+    specimen code; null (no subject, a warning instead) if it has none of id, link and code. ``base`` is what
+    stands before the document in an address made of an id."""
+    return F.when(present(mc_id) | present(http_uri) | present(specimen), F.when(present(mc_id), uri(F.concat(F.lit(base or f"http://material.{host}/id/"), doc_id, F.lit(".mc."), mc_id))).when(present(occurrence), uri(F.concat(F.lit("https://www.gbif.org/occurrence/"), occurrence))).when(present(http_uri), uri(http_uri)).otherwise(uri(F.concat(F.lit(f"http://treatment.{host}/id/"), doc_id, F.lit("/"), partial_uri(specimen)), "_")))
 
 
 def figure_uri(http_uri: Column, doi: Column) -> Column:

@@ -120,7 +120,7 @@ def _long(df: DataFrame, kind: str, subject: Column, props: list, order: Column)
     return df.select("doc_path", F.lit(kind).alias("kind"), subject.alias("subject"), order.cast("long").alias("ord"), F.explode(items).alias("x")).select("doc_path", "kind", "subject", "x.predicate", "x.object", "ord")
 
 
-def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST) -> DataFrame:
+def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST, material_base: str | None = None) -> DataFrame:
     """(doc_path, kind, subject, predicate, object, ord): all statements of all documents.
 
     Statements whose address can't be made are left out and turn up in ``diagnostics``.
@@ -156,7 +156,7 @@ def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST) -> DataFrame:
     out.append(kept.select("doc_path", F.lit("name").alias("kind"), F.col("name_uri").alias("subject"), F.explode(props).alias("x"), ((F.col("ord") + 1) * 100 + F.col("level")).cast("long").alias("ord")).select("doc_path", "kind", "subject", "x.predicate", "x.object", "ord"))
     out.append(_vernacular(nodes, e))
     out += _figures(nodes, docs, treatment, d)
-    out += _materials(nodes, docs, treatment, host)
+    out += _materials(nodes, docs, treatment, host, material_base)
     return reduce(lambda a, b: a.unionByName(b), (x.select("doc_path", "kind", "subject", "predicate", "object", F.col("ord").cast("long").alias("ord")) for x in out)).where("subject is not null")
 
 
@@ -228,9 +228,9 @@ def _figures(nodes: DataFrame, docs: DataFrame, treatment: Column, d: DataFrame)
     return [own, cites, part]
 
 
-def _materials(nodes: DataFrame, docs: DataFrame, treatment: Column, host: str) -> list[DataFrame]:
+def _materials(nodes: DataFrame, docs: DataFrame, treatment: Column, host: str, base: str | None) -> list[DataFrame]:
     m = nodes.where("tag = 'materialsCitation'").join(docs.select("doc_path", "doc_id"), "doc_path").withColumn("ord", F.col("node_id"))
-    m = m.withColumn("subject", T.material_uri(attr("id"), attr("ID-GBIF-Occurrence"), attr("httpUri"), attr("specimenCode"), F.col("doc_id"), host))
+    m = m.withColumn("subject", T.material_uri(attr("id"), attr("ID-GBIF-Occurrence"), attr("httpUri"), attr("specimenCode"), F.col("doc_id"), host, base))
     props = [(term, F.when(attr(a).isNotNull(), T.string_literal(attr(a)))) for a, term in MATERIAL_TERMS.items()]
     props.append(("trt:httpUri", F.when(T.present(attr("id")), T.uri(F.concat(F.lit(f"https://treatment.{host}/id/"), F.col("doc_id"), F.lit("#"), attr("id"))))))
     own = _long(m.where("subject is not null"), "material", F.col("subject"), [*props, ("trt:httpUri", F.when(T.present(attr("httpUri")), T.uri(attr("httpUri")))), ("a", F.lit("dwc:MaterialCitation"))], F.col("ord"))

@@ -148,7 +148,7 @@ def present_sql(c: str) -> str:
     return f"coalesce({c}, '') <> ''"
 
 
-@query(f"""SELECT row_id, CASE WHEN {present_sql('mc_id')} THEN {uri_sql("'http://tb.example.org/GgServer/dwcaRecords/' || docid || '.mc.' || mc_id")}
+@query(f"""SELECT row_id, CASE WHEN {present_sql('mc_id')} THEN {uri_sql("'http://material.example.org/id/' || docid || '.mc.' || mc_id")}
  WHEN {present_sql('id_gbif_occurrence')} THEN {uri_sql("'https://www.gbif.org/occurrence/' || id_gbif_occurrence")}
  WHEN {present_sql('httpuri')} THEN {uri_sql('httpuri')}
  ELSE {uri_sql("'http://treatment.example.org/id/' || docid || '/' || " + part_sql('specimencode'), '_')} END AS address

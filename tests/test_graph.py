@@ -62,7 +62,7 @@ def test_document_and_publication(graph):
 
 def test_materials_and_figures(graph):
     assert said(graph, "material", "dwc:recordedBy") == {'"X \\"y\\""'} and said(graph, "material", "dwc:catalogNumber") == {'"S 1"', '"S:2"'}
-    assert said(graph, "material", "dwc:basisOfRecord") == {"<http://tb.example.org/GgServer/dwcaRecords/D1.mc.M1>, <http://treatment.example.org/id/D1/S_2>, <https://www.gbif.org/occurrence/5>"}
+    assert said(graph, "material", "dwc:basisOfRecord") == {"<http://material.example.org/id/D1.mc.M1>, <http://treatment.example.org/id/D1/S_2>, <https://www.gbif.org/occurrence/5>"}
     assert said(graph, "figure", "fabio:hasRepresentation") == {"<https://zenodo.org/record/77/files/figure.png>", "<https://zenodo.org/record/88/files/f.png>"}
     assert said(graph, "figure", "cito:cites") == {"<https://doi.org/10.5281/zenodo.77>, <http://dx.doi.org/10.5281/zenodo.88>, <http://dx.doi.org/10.1/x>"}
 
