@@ -16,7 +16,7 @@ from stemma.llm.edits import undo_encoding
 # --- fixed values: function words of the languages ---------------------------------
 COMMON_WORDS = {
     "en": "the a an and or but of to in on at for with from by is are was were be been it its this that these those he she they we you i me him her us them my your his our their not no do does did have has had what who where when why how there here if then so as than can will would could should must just about".split(),
-    "de": "der die das ein eine einen einem und oder aber von zu in im auf an für mit aus bei ist sind war waren sein es dies diese er sie wir ihr du ich mich mir dir ihn uns nicht kein keine nein ja haben hat hatte was wer wo wann warum wie da hier wenn dann so als doch noch nur schon kann will soll muss man mal den dem des".split(),
+    "de": "der die das ein eine einen einem und oder aber von zu in im auf an für mit aus bei ist sind war waren sein es dies diese er sie wir ihr du ich mich mir dir ihn uns nicht kein keine nein ja haben hat hatte was wer wo wann warum wie da hier wenn dann so als doch noch nur schon kann will soll muss man mal den dem des denn bitte".split(),
     "fr": "le la les l un une des et ou mais de du à au aux dans sur pour avec par est sont était être ce cet cette ces il elle ils nous vous tu je j me te se m t s lui on ne n pas non oui que qu qui quoi où quand pourquoi comment y en si alors comme plus c d a ont as sans tout rien va".split(),
     "es": "el la los las un una unos y o pero de del a al en con por para sin es son era ser estar está esta este eso esto él ella ellos nosotros tú yo me te se le lo les nos mi tu su no ni sí que quién qué dónde cuándo cómo si como más muy ya hay ha he había todo nada aquí".split(),
 }
@@ -44,7 +44,7 @@ _MARKUP = re.compile(r"</?[A-Za-z][^<>\n]{0,80}>|\{\\[^{}\n]{0,60}\}|&(?:amp|lt|
 _ADVERT = re.compile(r"https?:|www\.|\w@\w|\w\.(?:invalid|example|test|com|net|org)\b|\bVIP\b|remove all ads|^\W*(?:encoded|ripped|synced|subtitles?|captions?|translated|sous-titres|untertitel|subtítulos)\b.{0,12}\b(?:by|par|von|por|offerts)\b|^-= .* =-$", re.I)
 #: Every advert holds one of these, in lower case.
 _ADVERT_SIGNS = ("http", "www.", "@", ".invalid", ".example", ".test", ".com", ".net", ".org", "vip", "remove all ads", "-= ", "encoded", "ripped", "synced", "subtitle", "caption", "translated", "sous-titres", "untertitel", "subtítulos")
-_SOUND = re.compile(r"\[[^\W\d_][^\W\d_ ,.'’-]*(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\]|\([^\W\d_]+(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\)|\*[^\W\d_]+(?: [^\W\d_]+){0,5}\*|[♪♫#]+")
+_SOUND = re.compile(r"\[[^\W\d_][^\W\d_ ,.'’-]*(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\]|\([^\W\d_]+(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\)|\*[^\W\d_]+(?: [^\W\d_]+){0,5}\*|[♪♫]+|(?<!\S)#(?!\S)")
 _CELL = r"(?:[\w.,%:/+-]{1,14}(?: [\w.,%:/+-]{1,14})?|)"
 _TABLE = re.compile(
     r"^(?:[^\t]*\t[^\n]*"  # tabs
@@ -65,6 +65,9 @@ _LIST = re.compile(
     r"|(?:[^\W\d_][\w'’-]*(?: [\w'’-]+){0,2}[,;/] ?){2,}[^\W\d_][\w'’-]*(?: [\w'’-]+){0,2}[,;]?"  # words and commas
     r")$",
 )
+#: Lines of two to four words that each begin with a capital: names, if several follow each other.
+_NAMES = re.compile(r"[A-ZÀ-Þ][^\W\d_'’-]+(?:[ -][A-ZÀ-Þ][^\W\d_'’-]+){1,3}$")
+NAME_RUN = 4
 _WORD = re.compile(r"[^\W\d_]+")
 _READABLE = re.compile(r"[^\W\d_]*[aeiouyäöüáéíóúàèìòùâêîôûåæœ][^\W\d_]*", re.I)
 _ENTRY_STARTS = frozenset("ch cha kap cap tra tit pis par tei sce sze epi ep act no nr ite son lie ch. no. nr. ep.".split())
@@ -129,7 +132,10 @@ def readable(line: str) -> bool:
     """Is a line speech rather than noise? Its class shares must be nearer to a prose
     profile than to a junk one, and its words must be made of syllables, not of a few
     signs over and over."""
-    if not _ODD.search(line) and not _ANY_COMMON.isdisjoint(line.lower().split()):
+    tokens = line.lower().split()
+    if len(tokens) >= 8 and len(set(tokens)) <= 2:
+        return False  # the same word over and over
+    if not _ODD.search(line) and not _ANY_COMMON.isdisjoint(tokens):
         return True  # plain signs and a function word
     words = _WORD.findall(line)
     letters = sum(map(len, words))
@@ -177,6 +183,20 @@ def structure(line: str) -> str:
     return "speech"
 
 
+def structures(lines: list[str]) -> list[str]:
+    """The form of each line; runs of at least NAME_RUN lines of names are entries."""
+    kinds, run = [structure(x) for x in lines], []
+    for k, line in enumerate([*lines, "."]):
+        if k < len(lines) and kinds[k] == "speech" and line[0].isupper() and line[-1].isalpha() and _NAMES.match(line) and _ANY_COMMON.isdisjoint(line.lower().split()):
+            run.append(k)
+        elif run:
+            if len(run) >= NAME_RUN:
+                for j in run:
+                    kinds[j] = "list"
+            run = []
+    return kinds
+
+
 FIELDS = "n_words long, n_lines long, mean_word_length double, symbol_ratio double, end_mark_share double, common_word_share double, nearest_lang string, word_divergence double, nearest_profile string, profile_divergence double, speech_chars long, list_chars long, table_chars long, junk_chars long, doc_kind string"
 
 
@@ -186,9 +206,8 @@ def describe(text: str | None) -> tuple:
     if not lines:
         return 0, 0, None, None, None, None, None, None, None, None, 0, 0, 0, 0, None
     chars = {"speech": 0, "list": 0, "table": 0, "junk": 0}
-    for line in lines:
+    for line, kind in zip(lines, structures(lines)):
         solid = len(line) - line.count(" ") - line.count("\t")
-        kind = structure(line)
         if kind == "list" and not readable(line.lstrip("-*•·▪◦‣+–—0123456789[]().: ")):
             kind = "junk"
         elif kind == "speech":

@@ -18,7 +18,7 @@ def test_kinds(kind):
     assert stats(CASES[kind])["doc_kind"] == kind
 
 
-@pytest.mark.parametrize("text,kind", [("hahahahahahahahahahahahaha\n" * 3, "junk"), ("HOW MANY TIMES DO I HAVE TO TELL YOU?", "prose"), ("Â¿QuÃ© quieres que haga yo?", "prose"), ("what d0 you want me to do with fhe storm?", "prose"), ("LdyWP/3OR0ho0mMr+oiqoXHA60aK6BhUxePnigsSvlOD9\n74mdlOBuXsS/lwvLhTWo3udWS8X5e5ZFpHiXcs+mhEy", "junk"), ("| - | 0:05 | 53 |\n|---|---|---|\n| 23 | - | lostu |", "table"), ("well; no", "prose")])
+@pytest.mark.parametrize("text,kind", [("hahahahahahahahahahahahaha\n" * 3, "junk"), ("HOW MANY TIMES DO I HAVE TO TELL YOU?", "prose"), ("Â¿QuÃ© quieres que haga yo?", "prose"), ("what d0 you want me to do with fhe storm?", "prose"), ("LdyWP/3OR0ho0mMr+oiqoXHA60aK6BhUxePnigsSvlOD9\n74mdlOBuXsS/lwvLhTWo3udWS8X5e5ZFpHiXcs+mhEy", "junk"), ("| - | 0:05 | 53 |\n|---|---|---|\n| 23 | - | lostu |", "table"), ("well; no", "prose"), ("#### #### ####\n" * 4, "junk"), ("la la la la la la la la la\n" * 4, "junk"), ("PUPI GOHAKAI\nLUZU HANEMOU\nSTIRAI ZULEVAI\nSTAVA STULOUKI", "list"), ("No, no, no!\nCome on.", "prose")])
 def test_hard_lines(text, kind):
     assert stats(text)["doc_kind"] == kind
 
