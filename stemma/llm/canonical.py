@@ -16,12 +16,14 @@ from stemma.sources.tables import broadcast_checked
 #: Edits that are looked for at most, and the shortest aliases for one and for two.
 MOST_EDITS = 2
 ONE_EDIT_FROM, TWO_EDITS_FROM = 3, 7
+#: What edits of a long alias may cost beyond their number, where a lost letter and swapped ones meet.
+LONG_FROM, LONG_COST = 10, 0.75
 #: The id of a value that means no entry, or more than one.
 NO_ENTRY = -1
 
 # --- fixed values: words around names ----------------------------------------------
 TITLE = re.compile(r"^(?:the |(?:peoples |people's |democratic |federal |united )*(?:republic|rep\.?|kingdom|kgdm\.?|state|states|provinces|prov\.?|federation|union|commonwealth|principality|duchy)(?: of)?(?: the)? |saint |sankt |san |santa |st\.? |ste\.? )+", re.I)
-TAIL = re.compile(r"(?:,? (?:the|republic|rep\.?|kingdom|federation|republic of|rep\.? of|united provinces of|saint))+$", re.I)
+TAIL = re.compile(r"(?:,? (?:the|islands?|isles?|archipelago|territor(?:y|ies)|emirates|republic|rep\.?|kingdom|federation|republic of|rep\.? of|united provinces of|saint))+$", re.I)
 DIRECTIONS = {"north": ("n", "no", "nth", "northern", "north"), "south": ("s", "so", "sth", "southern", "south"), "east": ("e", "eastern", "east"), "west": ("w", "western", "west"), "upper": ("u", "up", "upr", "upper"), "lower": ("l", "lo", "lwr", "low", "lower")}
 # -----------------------------------------------------------------------------------
 _BRACKETS = re.compile(r"[(\[{][^)\]}]*[)\]}]")
@@ -107,7 +109,7 @@ def canonical_values(values: DataFrame, refs: DataFrame) -> DataFrame:
     def score(batches):
         for b in batches:
             b["cost"] = [0.0 if p == a else 9.0 if k else weighted_distance(p, a) for p, a, k in zip(b.probe, b.alias, b.is_code)]
-            b["most"] = [float(edits_allowed(a)) for a in b.alias]
+            b["most"] = [edits_allowed(a) + LONG_COST * (len(a) >= LONG_FROM) for a in b.alias]
             yield b[b.cost <= b.most][["field_name", "value", "parts", "part", "rank", "ref_id", "cost"]]
 
     keys = values.select("field_name", "value").mapInPandas(spread, "field_name string, value string, parts int, part int, rank int, probe string, key string")

@@ -3,11 +3,11 @@ from stemma.llm.edits import deletes, skeleton, weighted_distance
 
 REFS = [
     ("c", 1, "Meduwostan", [], ["TV", "TVO"]), ("c", 2, "Sestegiuna", ["Loustaiavia"], ["ST", "STA"]), ("c", 3, "North Lubamiuna", None, ["LB", "LBN"]), ("c", 4, "South Lubamiuna", [], ["LA", None]),
-    ("c", 5, "Republic of Zimusteel", [], []), ("c", 6, "Saint Lumugeavia", [], []), ("r", 1, "class", ["classis", "Klasse"], []), ("r", 2, "subSpecies", ["ssp.", "subsp."], []), ("r", 3, "form", ["forma", "f."], []),
+    ("c", 5, "Republic of Zimusteel", [], []), ("c", 6, "Saint Lumugeavia", [], []), ("c", 7, "Goutotaland Islands", [], []), ("c", 8, "United Provinces of Nofubruin", [], []), ("r", 1, "class", ["classis", "Klasse"], []), ("r", 2, "subSpecies", ["ssp.", "subsp."], []), ("r", 3, "form", ["forma", "f."], []),
 ]
 CASES = {
     ("c", "Meduwostan"): 1, ("c", "MEDUWOSTAN?"): 1, ("c", "meduwotsan"): 1, ("c", "M E D U W O S T A N"): 1, ("c", "MeduwÃ¶stan"): 1, ("c", "Meduwostan [TVO]"): 1, ("c", "tvo"): 1, ("c", "T.V."): 1, ("c", "The Meduwostan"): 1, ("c", "Rep. of Meduwostan"): 1,
-    ("c", "LOUSTAAVIA"): 2, ("c", "Lubamiuna"): -1, ("c", "S. Lubamiuna"): 4, ("c", "southern Lubamiuna"): 4, ("c", "Lubamiuna (North)"): 3, ("c", "north lubbamiuna"): 3, ("c", "Kingdom of Zimusteel"): 5, ("c", "St. Lumugeavia"): 6, ("c", "Lumugeavja"): 6,
+    ("c", "LOUSTAAVIA"): 2, ("c", "Lubamiuna"): -1, ("c", "S. Lubamiuna"): 4, ("c", "southern Lubamiuna"): 4, ("c", "Lubamiuna (North)"): 3, ("c", "north lubbamiuna"): 3, ("c", "Kingdom of Zimusteel"): 5, ("c", "St. Lumugeavia"): 6, ("c", "Lumugeavja"): 6, ("c", "Goutotaland"): 7, ("c", "United Provinces of Nofruuin"): 8,
     ("c", "Meduwostan / Sestegiuna"): -1, ("c", "Meduwostan / MEDUWOSTAN"): 1, ("c", "High Seas"): -1, ("c", "?"): -1, ("c", "TVP"): -1, ("r", "Klase"): 1, ("r", "clade"): -1, ("r", "sub-species"): 2, ("r", "SSP"): 2, ("r", "F."): 3, ("r", "0"): -1,
 }
 
