@@ -60,21 +60,25 @@ def document_attributes(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT a.name_row_id AS left_id, min(b.name_row_id) AS next_id, count(b.name_row_id) AS following FROM taxon_names a LEFT JOIN taxon_names b ON a.docid = b.docid AND b.name_row_id > a.name_row_id AND b.taxon_role = 'citation' WHERE a.taxon_role = 'treatment' GROUP BY 1")
 def sibling_range_join(spark: SparkSession, d: str) -> DataFrame:
-    """The citations behind each treated name among its siblings."""
-    t = table(spark, d, "taxon_names")
-    a = t.where("taxon_role = 'treatment'").select("docid", F.col("name_row_id").alias("left_id"))
-    b = t.where("taxon_role = 'citation'").select("docid", F.col("name_row_id").alias("b_id"))
-    met = a.join(b, (a["docid"] == b["docid"]) & (b["b_id"] > a["left_id"]), "left")
-    return met.groupBy("left_id").agg(F.min("b_id").alias("next_id"), F.count("b_id").alias("following"))
+    """The citations behind each treated name among its siblings: what a range self-join would
+    gather, read off a running aggregate from the last sibling up, so that no pairs are made."""
+    behind = Window.partitionBy("docid").orderBy(F.desc("name_row_id")).rowsBetween(Window.unboundedPreceding, -1)
+    cited = F.when(F.col("taxon_role") == "citation", F.col("name_row_id"))
+    t = table(spark, d, "taxon_names").select("docid", "name_row_id", "taxon_role")
+    met = t.withColumn("next_id", F.min(cited).over(behind)).withColumn("following", F.count(cited).over(behind))
+    return met.where("taxon_role = 'treatment'").select(F.col("name_row_id").alias("left_id"), "next_id", "following")
 
 
 @query("SELECT e.event_id AS outer_id, count(i.event_id) AS inside, min(i.event_id) AS first_id FROM events e LEFT JOIN events i ON e.user_id = i.user_id AND i.ts >= e.ts AND i.ts < e.ts + INTERVAL 6 HOUR AND i.event_type = 'click' WHERE e.event_type = 'signup' GROUP BY 1")
 def containment_join(spark: SparkSession, d: str) -> DataFrame:
-    """Intervals that contain points: an equi-join on the owner with a range in it."""
+    """Intervals that contain points. Both sides are cut into time slots as long as the
+    interval, an interval counts in the two slots it may reach, and the equi-join is on owner and slot:
+    an owner of a third of all rows is as many groups as it has slots."""
     e = table(spark, d, "events")
-    o = e.where("event_type = 'signup'").select(F.col("event_id").alias("outer_id"), "user_id", F.col("ts").alias("start"))
-    i = e.where("event_type = 'click'").select(F.col("event_id").alias("i_id"), F.col("user_id").alias("i_user"), F.col("ts").alias("i_ts"))
-    met = o.join(i, (F.col("user_id") == F.col("i_user")) & (F.col("i_ts") >= F.col("start")) & (F.col("i_ts") < F.col("start") + F.expr("interval 6 hours")), "left")
+    slot = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(6 * 3_600_000_000))
+    o = e.where("event_type = 'signup'").select(F.col("event_id").alias("outer_id"), "user_id", F.col("ts").alias("start"), F.explode(F.array(slot, slot + 1)).alias("slot"))
+    i = e.where("event_type = 'click'").select(F.col("event_id").alias("i_id"), F.col("user_id").alias("i_user"), F.col("ts").alias("i_ts"), slot.alias("i_slot"))
+    met = o.join(i, (F.col("user_id") == F.col("i_user")) & (F.col("slot") == F.col("i_slot")) & (F.col("i_ts") >= F.col("start")) & (F.col("i_ts") < F.col("start") + F.expr("interval 6 hours")), "left")
     return met.groupBy("outer_id").agg(F.count("i_id").alias("inside"), F.min("i_id").alias("first_id"))
 
 
@@ -96,8 +100,8 @@ _ROLES = "WITH n AS (SELECT docid, name_row_id, concat_ws('_', genus, species) A
 def augment_if_exists(spark: SparkSession, d: str) -> DataFrame:
     """Cited names that a treated name of the same document has created before."""
     n = table(spark, d, "taxon_names").withColumn("key", F.concat_ws("_", "genus", "species"))
-    first = F.min(F.when(F.col("taxon_role") == "treatment", F.col("name_row_id"))).over(Window.partitionBy("docid", "key"))
-    return n.withColumn("first", first).where("taxon_role = 'citation' and name_row_id > first").select("name_row_id")
+    first = n.where("taxon_role = 'treatment'").groupBy("docid", "key").agg(F.min("name_row_id").alias("first"))
+    return n.where("taxon_role = 'citation'").join(first, ["docid", "key"]).where("name_row_id > first").select("name_row_id")
 
 
 @query("WITH o AS (SELECT doc_path, max_by(change_op, (seq, change_op)) AS op, max(seq) AS seq FROM change_feed WHERE seq % 2 = 0 GROUP BY 1), n AS (SELECT doc_path, max_by(change_op, (seq, change_op)) AS op, max(seq) AS seq FROM change_feed WHERE seq % 2 = 1 GROUP BY 1) SELECT * FROM n UNION ALL SELECT * FROM o WHERE doc_path NOT IN (SELECT doc_path FROM n)")
@@ -164,10 +168,8 @@ def first_occurrence(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT rank_id, rank_name, lag(rank_name) OVER (ORDER BY rank_id) AS above FROM rank_ref")
 def rank_before(spark: SparkSession, d: str) -> DataFrame:
-    """The predecessor of each rank, by an equi-join on its place."""
-    r = table(spark, d, "rank_ref").select("rank_id", "rank_name")
-    place = r.join(r.select(F.col("rank_id").alias("b")), F.col("b") < F.col("rank_id"), "left").groupBy("rank_id", "rank_name").agg(F.max("b").alias("at"))
-    return place.join(r.select(F.col("rank_id").alias("at"), F.col("rank_name").alias("above")), "at", "left").select("rank_id", "rank_name", "above")
+    """The predecessor of each rank (a fixed table of 22 rows)."""
+    return table(spark, d, "rank_ref").select("rank_id", "rank_name", F.lag("rank_name").over(Window.orderBy("rank_id")).alias("above"))
 
 
 _RANK_COLUMNS = ("kingdom", "phylum", "class", "order", "family", "genus", "species", "subSpecies")
