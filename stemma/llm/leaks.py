@@ -194,11 +194,15 @@ def windows(sequences: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarra
 
 
 def dense(row: np.ndarray, term: np.ndarray, weight: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    """The windows in the space of ``basis``."""
-    if not len(row):
-        return np.empty((0, basis.shape[1]), np.float32)
-    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-    return np.add.reduceat(basis[term] * weight[:, None], starts, axis=0)
+    """The windows in the space of ``basis``, some thousands at a time."""
+    starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.empty(0, np.int64)
+    out = np.empty((len(starts), basis.shape[1]), np.float32)
+    for lo in range(0, len(starts), 4_096):
+        own = starts[lo : lo + 4_096]
+        end = starts[lo + 4_096] if lo + 4_096 < len(starts) else len(row)
+        at = slice(own[0], end)
+        out[lo : lo + 4_096] = np.add.reduceat(basis[term[at]] * weight[at, None], own - own[0], axis=0)
+    return out
 
 
 def unit(x: np.ndarray) -> np.ndarray:
