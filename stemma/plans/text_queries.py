@@ -130,6 +130,19 @@ def shorten_authors(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("row_id", T.shorten_authors("collectorname").alias("names"))
 
 
+def title_sql(c: str) -> str:
+    marked = f"regexp_replace({c}, '[A-Za-z0-9_][A-Z]+\\b[^.]|[A-Za-z0-9_][A-Z]+$', chr(1) || '\\0' || chr(2), 'g')"
+    return f"array_to_string(list_transform(string_split({marked}, chr(1)), lambda p: CASE WHEN contains(p, chr(2)) THEN left(p, 1) || lower(split_part(substr(p, 2), chr(2), 1)) || split_part(p, chr(2), 2) ELSE p END), '')"
+
+
+@query(f"""WITH n AS (SELECT row_id, {norm_sql('collectorname')} AS a FROM materials),
+ r AS (SELECT row_id, replace(replace(regexp_replace(a, '([^,@&]+), +[^,@&]+', '\\1@', 'g'), '@&', ' &'), '@', '') AS a FROM n)
+SELECT row_id, CASE WHEN length(a) >= 2 THEN {title_sql('a')} ELSE a END AS names FROM r""")
+def shorten_authors_all(spark: SparkSession, d: str) -> DataFrame:
+    """The whole rule on every row; shorten_authors has the rows that a single replacement settles."""
+    return table(spark, d, "materials").select("row_id", T.shorten_authors("collectorname").alias("names"))
+
+
 @query("SELECT name_id, upper(left(w, 1)) || lower(w[2:]) AS titled FROM (SELECT name_id, upper(regexp_extract(collectorname, '[A-Za-z]{3,}')) AS w FROM collector_names) WHERE w <> ''")
 def title_case(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "collector_names").select("name_id", F.upper(F.regexp_extract("collectorname", "[A-Za-z]{3,}", 0)).alias("w")).where("w <> ''")
