@@ -92,7 +92,7 @@ def replace_first(c: Column, pattern: str, by: str) -> Column:
 
 def title_case(c: Column) -> Column:
     """Words in capitals with the first letter kept and the rest lowered."""
-    marked = F.regexp_replace(c, rf"[A-Za-z0-9_][A-Z]+{B}[^.\n\r]|[A-Za-z0-9_][A-Z]+\z", "\u0001$0\u0002")
+    marked = F.regexp_replace(c, rf"[A-Za-z0-9_][A-Z]+{B}[^.]|[A-Za-z0-9_][A-Z]+\z", "\u0001$0\u0002")
     parts = F.split(marked, "\u0001")
     low = lambda p: F.concat(F.substring(p, 1, 1), F.lower(F.substring_index(F.substring(p, F.lit(2), F.length(p)), "\u0002", 1)), F.substring_index(p, "\u0002", -1))
     return F.array_join(F.transform(parts, lambda p: F.when(F.contains(p, F.lit("\u0002")), low(p)).otherwise(p)), "")

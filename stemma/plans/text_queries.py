@@ -149,6 +149,12 @@ def title_case(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("name_id", T.title_case_shouted(F.col("w")).alias("titled"))
 
 
+@query(f"SELECT name_id, CASE WHEN length(collectorname) >= 2 AND NOT regexp_matches(collectorname, '[a-z]') THEN {title_sql('collectorname')} ELSE collectorname END AS titled FROM collector_names")
+def title_case_all(spark: SparkSession, d: str) -> DataFrame:
+    """Whole names, shouted or not; title_case has their first words in plain letters."""
+    return table(spark, d, "collector_names").select("name_id", T.title_case_shouted(F.col("collectorname")).alias("titled"))
+
+
 @query(f"""SELECT docid, doc_path, updated_ts, received_ts, CASE WHEN coalesce(id_doi, '') = '' THEN {uri_sql("'http://publication.example.org/id/' || " + part_sql('masterdocid'))}
  WHEN contains(id_doi, 'doi.org') THEN {uri_sql("replace(replace(id_doi, 'https://', 'http://'), 'http://dx.doi.org/', 'http://doi.org/')")}
  ELSE {uri_sql("'http://doi.org/' || id_doi")} END AS publication FROM treatments""")

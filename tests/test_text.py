@@ -40,3 +40,22 @@ def test_shorten_authors_of_all_rows(spark):
     want = {k: shortened(a) for k, a in rows("materials", "row_id", "collectorname")}
     got = text_queries.QUERIES["shorten_authors_all"](spark, D).collect()
     assert len(got) == len(want) and dict(map(tuple, got)) == want and any("&" in x for x in want.values())
+
+
+def shouted(s):
+    return title(s) if s is not None and len(s) >= 2 and not re.search("[a-z]", s) else s
+
+
+SHOUTED = [None, "", "A", "AB", "ab", "DE LA BINE, O.", "BOÜHUTOU-BAIRD, B. B.", "ROÉ", "Elisabeth Z. MÖDOU", "O'NEIL & KING", "AB.", "AB. CD", "AB\nCD", "7UP 7UP", "ÄÖÜ", "MC_NAB X1Y", " XY "]
+
+
+def test_title_case(spark):
+    df = spark.createDataFrame(list(enumerate(SHOUTED)), "k int, a string")
+    assert dict(map(tuple, df.select("k", T.title_case_shouted(df.a)).collect())) == {k: shouted(a) for k, a in enumerate(SHOUTED)}
+
+
+@tables
+def test_title_case_of_whole_names(spark):
+    want = {k: shouted(a) for k, a in rows("collector_names", "name_id", "collectorname")}
+    got = text_queries.QUERIES["title_case_all"](spark, D).collect()
+    assert len(got) == len(want) and dict(map(tuple, got)) == want
