@@ -300,8 +300,16 @@ def citation_guard(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT name_row_id, CASE WHEN coalesce(authorityname, '') = '' THEN 'INVALID' WHEN authorityyear IS NULL THEN authorityname ELSE authorityname || ', ' || regexp_extract(authorityyear, '[0-9]{4}') END AS authority FROM taxon_names WHERE regexp_matches(coalesce(authorityname, ''), '^[A-Z]?[a-z]*$') AND (authorityyear IS NULL OR regexp_matches(authorityyear, '^[0-9]{4}[a-z]?$'))")
 def full_authority(spark: SparkSession, d: str) -> DataFrame:
-    """Authorities of cited taxa in plain letters; other forms are tested against a model."""
+    """Authorities of cited taxa in plain letters; full_authority_all has every form."""
     t = table(spark, d, "taxon_names").where("coalesce(authorityname, '') rlike '^[A-Z]?[a-z]*$' and (authorityyear is null or authorityyear rlike '^[0-9]{4}[a-z]?$')")
     attrs = {k: F.col(TAXON[k]) for k in ("authorityName", "authorityYear", "kingdom")}
     none = F.lit(None).cast("string")
     return t.select("name_row_id", T.full_authority(attrs, none, none, False).alias("authority"))
+
+
+@query()
+def full_authority_all(spark: SparkSession, d: str) -> DataFrame:
+    """Authorities of all taxa, as cited ones; tested against a model."""
+    attrs = {k: F.col(TAXON[k]) for k in ("authorityName", "authorityYear", "kingdom")}
+    none = F.lit(None).cast("string")
+    return table(spark, d, "taxon_names").select("name_row_id", T.full_authority(attrs, none, none, False).alias("authority"))
