@@ -77,6 +77,21 @@ def weighted_distance(a: str, b: str, cut: float = 9.0) -> float:
     return last[m]
 
 
+def damages(a: str, b: str) -> int:
+    """Letters changed, lost or added and neighbours that changed places, between two words."""
+    before: list[int] = []
+    last = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            v = min(last[j] + 1, now[j - 1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                v = min(v, before[j - 2] + 1)
+            now.append(v)
+        before, last = last, now
+    return last[-1]
+
+
 def coded(words: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
     """Words as rows of code points, cut at ``width``, and their lengths."""
     grid = np.zeros((len(words), width), np.uint16)
