@@ -1,12 +1,17 @@
-"""Per-document text quality statistics and structural profiles."""
+"""Per-document text quality statistics and structural profiles.
+
+Lines are distributions of function words and character classes; the Jensen-Shannon
+divergence from language and structure profiles says what they are.
+"""
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,22 +25,38 @@ COMMON_WORDS = {
     "fr": "le la les l un une des et ou mais de du à au aux dans sur pour avec par est sont était être ce cet cette ces il elle ils nous vous tu je j me te se m t s lui on ne n pas non oui que qu qui quoi où quand pourquoi comment y en si alors comme plus c d a ont as sans tout rien va".split(),
     "es": "el la los las un una unos y o pero de del a al en con por para sin es son era ser estar está esta este eso esto él ella ellos nosotros tú yo me te se le lo les nos mi tu su no ni sí que quién qué dónde cuándo cómo si como más muy ya hay ha he había todo nada aquí".split(),
 }
-#: Shares of the character classes in speech, in entries, in cells and in noise:
-#: lower case, upper case, digits, white space, sentence marks, separators, symbols, other.
-CLASSES = ("lower", "upper", "digit", "space", "mark", "separator", "symbol", "other")
+#: What the signs of a line are: letters of function words, of other words by their case, of
+#: unreadable words and of words said over and over; digits; sentence marks and commas; cell
+#: borders; item marks; dashes; all other signs.
+SIGNS = ("function", "lower", "capital", "shout", "odd", "again", "number", "end", "comma", "cell", "item", "dash", "symbol")
+#: The shares of the signs in lines of each kind, each kind in several forms; shares not named are 0.
 PROFILES = {
-    "prose": (0.76, 0.035, 0.002, 0.16, 0.04, 0.003, 0.0, 0.0),
-    "shouted": (0.0, 0.79, 0.002, 0.165, 0.04, 0.003, 0.0, 0.0),
-    "list": (0.66, 0.08, 0.06, 0.14, 0.02, 0.04, 0.0, 0.0),
-    "table": (0.12, 0.06, 0.42, 0.2, 0.08, 0.12, 0.0, 0.0),
-    "symbols": (0.1, 0.05, 0.05, 0.12, 0.18, 0.15, 0.35, 0.0),
-    "signs": (0.0, 0.2, 0.0, 0.02, 0.02, 0.01, 0.45, 0.3),
-    "codes": (0.38, 0.4, 0.16, 0.03, 0.0, 0.01, 0.02, 0.0),
+    "prose": (
+        "function .40 lower .49 capital .02 number .01 end .07 comma .01", "function .31 lower .38 capital .20 number .01 end .08 comma .02", "function .07 lower .66 end .27", "function .38 shout .42 number .01 end .15 comma .02 dash .02", "function .19 capital .49 again .04 end .25 dash .03",
+        "function .31 lower .36 capital .11 again .03 end .10 comma .03 dash .06", "function .05 lower .38 capital .34 end .18 dash .05", "function .45 lower .25 capital .05 end .25", "function .20 lower .72 capital .08",
+    ),
+    "list": (
+        "capital .90 item .06 dash .03 end .01", "capital .76 number .10 item .06 end .05 symbol .03", "shout .93 item .04 dash .03", "function .19 lower .43 number .13 item .20 cell .03 dash .02", "function .14 lower .36 number .17 item .17 end .16", "lower .52 number .15 end .08 item .25",
+        "function .10 lower .67 capital .03 comma .20", "function .20 capital .42 number .10 item .20 end .05 symbol .03", "function .10 lower .62 item .28", "lower .50 number .25 item .20 cell .05", "capital .80 dash .20", "shout .60 number .15 item .25", "function .33 lower .35 capital .10 number .05 end .08 item .09",
+    ),
+    "table": (
+        "lower .16 number .39 cell .36 end .04 item .03 dash .01 symbol .01", "shout .06 number .31 cell .49 end .05 dash .05 symbol .04", "lower .30 shout .10 number .10 cell .45 dash .05", "cell .35 dash .65", "shout .03 number .45 cell .33 end .06 item .10 symbol .03", "shout .30 number .15 cell .45 dash .05 symbol .05",
+    ),
+    "junk": (
+        "function .08 lower .05 odd .09 number .03 end .20 cell .23 symbol .32", "lower .05 capital .03 shout .03 odd .28 end .07 symbol .54", "function .02 lower .02 capital .07 odd .72 number .15 symbol .02", "function .30 lower .05 capital .05 odd .12 number .08 end .12 cell .06 item .02 symbol .20",
+        "again 1", "symbol 1", "function .10 again .90", "dash 1", "end .70 dash .30",
+    ),
 }
-JUNK_PROFILES = ("symbols", "signs", "codes")
+#: What a mark counts for beside a letter.
+MARK_WEIGHTS = {"last end": 2.0, "comma": 2.0, "cell": 3.0, "bullet": 4.0, "first dash": 3.0, "first number": 3.0}
 # -----------------------------------------------------------------------------------
-_COMMON = {lang: frozenset(words) for lang, words in COMMON_WORDS.items()}
-_ANY_COMMON = frozenset().union(*_COMMON.values())
+#: The divergences of the lines beside a line count for this much of its own, the nearest first;
+#: a line counts by its signs, at most LINE_SIGNS of them.
+BESIDE, LINE_SIGNS = (0.5, 0.25), 40
+#: Share of function words in the prose of every language.
+FUNCTION_SHARE = 0.5
+#: Signs that are measured at once, and signs of a piece of a longer line.
+CHUNK, PIECE = 1_000_000, 20_000
 
 _HEADER = re.compile(r"\A\s*WEBVTT[^\n]*\n(?:[A-Za-z-]+: ?[^\n]*\n)*")
 _TIME = re.compile(r"[^>]*[\dOoIl]{1,3} ?[:.;] ?[\dOoIl]{2}\b[^>]*[-–—] ?>")
@@ -45,114 +66,73 @@ _ADVERT = re.compile(r"https?:|www\.|\w@\w|\w\.(?:invalid|example|test|com|net|o
 #: Every advert holds one of these, in lower case.
 _ADVERT_SIGNS = ("http", "www.", "@", ".invalid", ".example", ".test", ".com", ".net", ".org", "vip", "remove all ads", "-= ", "encoded", "ripped", "synced", "subtitle", "caption", "translated", "sous-titres", "untertitel", "subtítulos")
 _SOUND = re.compile(r"\[[^\W\d_][^\W\d_ ,.'’-]*(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\]|\([^\W\d_]+(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\)|\*[^\W\d_]+(?: [^\W\d_]+){0,5}\*|[♪♫]+|(?<!\S)#(?!\S)")
-_CELL = r"(?:[\w.,%:/+-]{1,14}(?: [\w.,%:/+-]{1,14})?|)"
-_TABLE = re.compile(
-    r"^(?:[^\t]*\t[^\n]*"  # tabs
-    r"|\|(?:[ \w.,%:/+-]*\|){2,} *"  # bars
-    r"|[\w.%:/+-]*(?:;[\w.%:/+-]*){2,}"  # semicolons
-    r"|[\w.%:/+-]+(?:,[\w.%:/+-]+){2,}"  # commas without white space
-    rf"|{_CELL}(?: {{2,}}{_CELL})+ *)$"  # aligned
-)
-_ENTRY_WORDS = r"(?:Ch|Chap|Chapter|Chapitre|Kap|Kapitel|Cap|Capítulo|Track|Titre|Titel|Pista|Piste|Part|Teil|Scene|Szene|Episode|Ep|Act|No|Nr|Item|Song|Lied)"
-_LIST = re.compile(
-    rf"^(?:{_ENTRY_WORDS}\.? ?#?\d+\b.*"  # numbered by a word
-    r"|[\[(]?\d{1,4}(?:[\])]|\.(?!\d)|\)| ?[-–:](?= ))[^\S\n]*\S.*"  # numbered
-    r"|\d{1,2}:\d{2}(?::\d{2})? [-–]? ?\S.*"  # with a time
-    r"|\d+(?:[.,]\d+)? ?(?:kg|g|mg|l|ml|cl|dl|pcs|pz|st|stk|x|cm|m|oz|lb|el|tl|uds?)\b\.? .{1,50}"  # quantities
-    r"|[-*•·▪◦‣+–—] ?[A-ZÀ-Þ][\w'’]+(?: [A-ZÀ-Þ][\w'’]+){0,3}[,;]?"  # bullets before names
-    r"|[*•·▪◦‣+] ?\S.{0,60}"  # other bullets
-    r"|[A-ZÀ-Þ][\w'’.& -]{1,25} ?[:…] ?(?:[A-ZÀ-Þ][\w'’.-]+,? ?){1,4}"  # credits
-    r"|(?:[^\W\d_][\w'’-]*(?: [\w'’-]+){0,2}[,;/] ?){2,}[^\W\d_][\w'’-]*(?: [\w'’-]+){0,2}[,;]?"  # words and commas
-    r")$",
-)
-#: Lines of two to four words that each begin with a capital: names, if several follow each other.
-_NAMES = re.compile(r"[A-ZÀ-Þ][^\W\d_'’-]+(?:[ -][A-ZÀ-Þ][^\W\d_'’-]+){1,3}$")
-NAME_RUN = 4
 _WORD = re.compile(r"[^\W\d_]+")
-_READABLE = re.compile(r"[^\W\d_]*[aeiouyäöüáéíóúàèìòùâêîôûåæœ][^\W\d_]*", re.I)
-_ENTRY_STARTS = frozenset("ch cha kap cap tra tit pis par tei sce sze epi ep act no nr ite son lie ch. no. nr. ep.".split())
-#: Signs that plain speech does without.
-_ODD = re.compile(r"[^\w\s.,?!'’\"…:;¿¡«»“”„()–—-]|[\d_]|[^\W\d_]{26}")
 _END_MARK = re.compile(r"[.!?…:;\"»”)]\s*$")
-_MARKS, _SEPARATORS = frozenset(".,?!'’\"-–—…:¿¡«»“”„"), frozenset("|;/\t()[]&%+=*#•")
-
-
-def _class_of(c: str) -> int:
-    if c.islower():
-        return 0 if c < "ɐ" else 7
-    if c.isupper():
-        return 1 if c < "ɐ" else 7
-    if c.isdigit():
-        return 2
-    if c.isspace():
-        return 3
-    if c in _MARKS:
-        return 4
-    if c in _SEPARATORS:
-        return 5
-    return 7 if c.isalpha() else 6
-
-
-_CLASS: dict[str, int] = {}
-
-
-def class_shares(text: str) -> list[float]:
-    """The shares of the character classes in a text (zeros for an empty one)."""
-    counts = [0] * len(CLASSES)
-    for c, n in Counter(text).items():
-        k = _CLASS.get(c)
-        if k is None:
-            k = _CLASS.setdefault(c, _class_of(c))
-        counts[k] += n
-    total = sum(counts) or 1
-    return [n / total for n in counts]
-
-
-def divergence(p: list[float], q: tuple[float, ...] | list[float]) -> float:
-    """Jensen-Shannon divergence in bits, 0 to 1."""
-    out = 0.0
-    for a, b in zip(p, q):
-        m = (a + b) / 2
-        if a:
-            out += a * math.log2(a / m)
-        if b:
-            out += b * math.log2(b / m)
-    return min(1.0, max(0.0, out / 2))
-
-
-def word_divergence(words: Counter, lang: str) -> float:
-    """Divergence of (each function word of the language, any other word) from even use of
-    function words in half of the running text, which all four languages come near to."""
-    total = sum(words.values()) or 1
-    known = sum(n for w, n in words.items() if w in _COMMON[lang])
-    return divergence([known / total, 1 - known / total], [0.5, 0.5])
-
-
-def readable(line: str) -> bool:
-    """Is a line speech rather than noise? Its class shares must be nearer to a prose
-    profile than to a junk one, and its words must be made of syllables, not of a few
-    signs over and over."""
-    tokens = line.lower().split()
-    if len(tokens) >= 8 and len(set(tokens)) <= 2:
-        return False  # the same word over and over
-    if not _ODD.search(line) and not _ANY_COMMON.isdisjoint(tokens):
-        return True  # plain signs and a function word
-    words = _WORD.findall(line)
-    letters = sum(map(len, words))
-    solid = len(line) - line.count(" ")
-    if not letters:
-        return sum(c in _MARKS or c.isdigit() for c in line) >= solid * 0.9 and solid < 12
-    if len(line) >= 12 and len(set(line.lower()) - {" ", ".", ",", "!", "-"}) <= min(max(3, len(line) // 12), 6):
-        return False
-    syllables = sum(len(w) for w in words if len(w) < 26 and _READABLE.fullmatch(w))
-    odd = sum(len(w) for w in words if len(w) > 3 and sum(a.islower() and b.isupper() for a, b in zip(w, w[1:])) > 1)
-    if (syllables - odd) < 0.5 * letters:
-        return False
-    if letters >= 0.87 * solid:
-        return True
-    p = class_shares(line)
-    near = min(divergence(p, PROFILES[k]) for k in ("prose", "shouted", "list"))
-    return near <= min(divergence(p, PROFILES[k]) for k in JUNK_PROFILES) and (letters >= 0.72 * solid or solid < 10)
+LANGS = tuple(COMMON_WORDS)
+KINDS = tuple(PROFILES)
+_LOWER, _UPPER, _OTHER, _DIGIT, _SPACE, _LINE, _MARK, _SYMBOL, _CELL, _BULLET, _DASH = range(11)
+_TOP = 0x10000  # all signs from here on count as one
+
+
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, ...]:
+    """By code point: class, script of letters, is it a vowel, its small letter; and the
+    powers, the function words' hashes and the languages they belong to."""
+    kind, script = np.full(_TOP + 1, _SYMBOL, np.uint8), np.zeros(_TOP + 1, np.uint8)
+    vowel, small, scripts = np.zeros(_TOP + 1, bool), np.arange(_TOP + 1, dtype=np.uint64), {}
+    for c in range(_TOP):
+        sign = chr(c)
+        cat = unicodedata.category(sign)
+        if cat[0] == "L":
+            name = unicodedata.name(sign, "?").split()[0].split("-")[0]
+            name = "CJK" if name in ("HIRAGANA", "KATAKANA") or c == 0x30FC else name
+            script[c] = scripts.setdefault(name, len(scripts) + 1)
+            kind[c] = _UPPER if cat in ("Lu", "Lt") else _LOWER if cat == "Ll" else _OTHER
+            vowel[c] = c < 0x250 and unicodedata.normalize("NFKD", sign.lower())[0] in "aeiouyæœøı"
+            if len(low := sign.lower()) == 1 and ord(low) < _TOP:
+                small[c] = ord(low)
+        elif cat[0] == "M":
+            kind[c] = _OTHER
+        elif cat == "Nd":
+            kind[c] = _DIGIT
+        elif sign.isspace():
+            kind[c] = _SPACE
+    for signs, k in (("\n", _LINE), (".,?!'’\"…:¿¡«»“”„‘`´、。！？「」，", _MARK), ("-–—‐", _DASH), ("\t|;", _CELL), ("*•·▪◦‣", _BULLET)):
+        kind[[ord(x) for x in signs]] = k
+    powers = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64))
+    words = sorted(set().union(*COMMON_WORDS.values()))
+    code = lambda w: small[np.frombuffer(w.encode("utf-32-le"), np.uint32)]
+    hashes = np.array([(code(w) * powers[: len(w)]).sum() for w in words], np.uint64)
+    order = np.argsort(hashes)
+    of = np.array([[w in COMMON_WORDS[lang] for lang in LANGS] for w in words], bool)
+    # the n-th word of a language's list has a share in proportion to 1 / (n + 2)
+    share = np.array([[1 / (COMMON_WORDS[lang].index(w) + 2) if w in COMMON_WORDS[lang] else 0.0 for lang in LANGS] for w in words])
+    return kind, script, vowel, small, powers, hashes[order], of[order], (share / share.sum(0))[order]
+
+
+@lru_cache(maxsize=1)
+def _profiles() -> tuple[np.ndarray, np.ndarray]:
+    """The profiles as rows of shares, and the kind of each."""
+    out = []
+    for form in (f for forms in PROFILES.values() for f in forms):
+        parts = form.split()
+        row = np.full(len(SIGNS), 0.002)
+        for sign, share in zip(parts[::2], parts[1::2]):
+            row[SIGNS.index(sign)] += float(share)
+        out.append(row / row.sum())
+    return np.array(out), np.repeat(np.arange(len(KINDS)), [len(p) for p in PROFILES.values()])
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log2(np.maximum(x, 1e-12))
+
+
+def divergences(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon divergences in bits, 0 to 1, of the rows of p from those of q."""
+    own, out = _xlogx(p).sum(1), np.empty((len(p), len(q)))
+    for j, row in enumerate(q):
+        out[:, j] = (own + _xlogx(row).sum()) / 2 - _xlogx((p + row) / 2).sum(1)
+    return np.clip(out, 0.0, 1.0)
 
 
 def visible_lines(text: str) -> list[str]:
@@ -172,85 +152,191 @@ def visible_lines(text: str) -> list[str]:
     return out
 
 
-def structure(line: str) -> str:
-    """'table', 'list' or 'speech' by the form of a line."""
-    commas = line.count(",")
-    if ("\t" in line or "|" in line or "  " in line or commas > 1 or line.count(";") > 1) and _TABLE.match(line):
-        return "table" if line.count("-") < 0.8 * len(line) or "\t" in line or "|" in line else "junk"
-    if not line[0].isalpha() or ":" in line or commas > 1 or ";" in line or "/" in line or line[:3].lower().strip() in _ENTRY_STARTS:
-        if _LIST.match(line) and (not line[0].isalpha() or ":" in line or line[:3].lower().strip() in _ENTRY_STARTS or len(_ANY_COMMON.intersection(line.lower().split())) < 2):
-            return "list"
-    return "speech"
-
-
-def structures(lines: list[str]) -> list[str]:
-    """The form of each line; runs of at least NAME_RUN lines of names are entries."""
-    kinds, run = [structure(x) for x in lines], []
-    for k, line in enumerate([*lines, "."]):
-        if k < len(lines) and kinds[k] == "speech" and line[0].isupper() and line[-1].isalpha() and _NAMES.match(line) and _ANY_COMMON.isdisjoint(line.lower().split()):
-            run.append(k)
-        elif run:
-            if len(run) >= NAME_RUN:
-                for j in run:
-                    kinds[j] = "list"
-            run = []
-    return kinds
+def _spoken(line: str) -> str:
+    """A line without sound descriptions and signs of songs."""
+    return _SOUND.sub("", line).strip() if "[" in line or "(" in line or "*" in line or "♪" in line or "#" in line else line
+
+
+def line_signs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lines x languages x signs: the weight of each sign in each line when the function
+    words are those of a language; line and number of each function word).
+
+    All lines are measured together: classes by a table, words as runs of letters, known
+    words by their hash."""
+    kind_of, script_of, vowel_of, small, powers, hashes, of, _ = _tables()
+    n = len(lines)
+    code = np.minimum(np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32), _TOP).astype(np.int64)
+    kind = kind_of[code]
+    ends = np.flatnonzero(kind == _LINE)
+    line = np.repeat(np.arange(n), np.diff(np.r_[-1, ends]))
+    starts = np.r_[0, ends[:-1] + 1]
+    out = np.zeros((n, len(LANGS), len(SIGNS)), np.float32)
+    found_line = found_word = np.empty(0, np.int64)
+
+    def add(sign: str, at: np.ndarray, weight: float = 1.0) -> None:
+        out[:, :, SIGNS.index(sign)] += (np.bincount(line[at], minlength=n) * weight)[:, None]
+
+    after, before = np.r_[kind[1:], _LINE], np.r_[_LINE, kind[:-1]]
+    letter = kind <= _OTHER
+    edge = np.diff(np.r_[False, letter, False].astype(np.int8))
+    first, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    if len(first):
+        size, of_line = stop - first, line[first]
+
+        def within(mask: np.ndarray) -> np.ndarray:
+            total = np.r_[0, np.cumsum(mask)]
+            return total[stop] - total[first]
+
+        script = script_of[code]
+        uppers, vowels = within(kind == _UPPER), within(vowel_of[code])
+        humps = within((kind == _UPPER) & (before == _LOWER))
+        turns = within(np.r_[False, (script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0)])
+        latin = script[first] == script_of[ord("a")]
+        place = np.arange(len(code)) - np.repeat(np.r_[0, first], np.diff(np.r_[0, first, len(code)]))
+        hashed = np.add.reduceat(np.where(letter, small[code] * powers[place & 63], np.uint64(0)), first)
+        variety = np.bitwise_count(np.bitwise_or.reduceat(np.where(letter, np.uint32(1) << (code & 31).astype(np.uint32), np.uint32(0)), first))
+        at = np.minimum(np.searchsorted(hashes, hashed), len(hashes) - 1)
+        known = hashes[at] == hashed
+        left, right = before[first], kind[stop]
+        tight = np.isin(left, (_SYMBOL, _DIGIT, _CELL, _BULLET)) | np.isin(right, (_SYMBOL, _DIGIT, _BULLET))
+        alone = (size == 1) & (left != _MARK) & (right != _MARK)
+        odd = (humps > 0) & (humps + (uppers > 1) > 1) | (turns > 0) | latin & ((vowels == 0) & (size > 3) | (size > 25)) | ~known & latin & ((size <= 2) & tight | alone)
+        order = np.lexsort((first, hashed, of_line))
+        said = np.zeros((2, len(first)), bool)  # before in the line: once, twice
+        for k in (1, 2):
+            said[k - 1][order[k:]] = (hashed[order[k:]] == hashed[order[:-k]]) & (of_line[order[k:]] == of_line[order[:-k]])
+        again = np.where(known, said[1], said[0]) | (size >= 8) & (variety <= 3) & latin
+        case = np.where((uppers == size) & (size > 1), 3, np.where(uppers > 0, 2, 1))
+        for k in range(len(LANGS)):
+            sign = np.where(again, 5, np.where(known & of[at, k], 0, np.where(odd & ~known, 4, case)))
+            out[:, k] += np.bincount(of_line * len(SIGNS) + sign, size, n * len(SIGNS)).reshape(n, -1)
+        found_line, found_word = of_line[known], at[known]
+        # a number behind the first word of a line numbers it, if that has a capital
+        words_before = np.r_[0, np.cumsum(edge[:-1] == 1)]
+    else:
+        words_before = np.zeros(len(code) + 1, np.int64)
+    digit_starts = np.flatnonzero((kind == _DIGIT) & (before != _DIGIT))
+    rank = words_before[digit_starts] - words_before[starts[line[digit_starts]]]
+    firsts = np.ones(len(digit_starts), bool)
+    firsts[1:] = line[digit_starts[1:]] != line[digit_starts[:-1]]
+    lead = digit_starts[firsts & ((rank == 1) & (kind[starts[line[digit_starts]]] == _UPPER) | (digit_starts - starts[line[digit_starts]] <= 1))]
+    add("item", lead, MARK_WEIGHTS["first number"])
+    add("number", np.flatnonzero(kind == _DIGIT))
+    comma = code == ord(",")
+    tight_comma = comma & (after != _SPACE) & (after != _LINE)
+    wide = (kind == _SPACE) & (after == _SPACE) & (before != _SPACE) & (before != _LINE)
+    between = (kind == _SPACE) & (after == _DIGIT) & (before == _DIGIT)
+    add("cell", np.flatnonzero((kind == _CELL) | tight_comma | wide | between), MARK_WEIGHTS["cell"])
+    add("comma", np.flatnonzero(comma & ~tight_comma), MARK_WEIGHTS["comma"])
+    add("end", np.flatnonzero((kind == _MARK) & ~comma))
+    last = ends - 1
+    add("end", last[(last >= starts) & (kind[last] == _MARK) & ~comma[last]], MARK_WEIGHTS["last end"])
+    front = np.zeros(len(code), bool)
+    front[starts] = True
+    add("item", np.flatnonzero((kind == _BULLET) & front), MARK_WEIGHTS["bullet"])
+    add("dash", np.flatnonzero((kind == _DASH) & front), MARK_WEIGHTS["first dash"])
+    add("dash", np.flatnonzero((kind == _DASH) & ~front))
+    add("symbol", np.flatnonzero((kind == _SYMBOL) | (kind == _BULLET) & ~front))
+    return out, found_line, found_word
+
+
+def describe_many(texts: list[str | None]) -> pd.DataFrame:
+    """The statistics of texts, columns as in FIELDS; see ``quality_stats``."""
+    n = len(texts)
+    lines, doc = [], []
+    for k, t in enumerate(texts):
+        for x in visible_lines(t) if t else ():
+            for lo in range(0, len(x), PIECE):
+                lines.append(x[lo : lo + PIECE])
+                doc.append(k)
+    doc = np.array(doc, np.int64)
+    spoken = [_spoken(x) for x in lines]
+    parts, words, ids, lo, size = [], [], [], 0, 0
+    for hi in range(len(spoken) + 1):  # so many signs at once
+        if hi == len(spoken) and hi > lo or size > CHUNK:
+            signs, at, word = line_signs(spoken[lo:hi])
+            parts.append(signs)
+            words.append(at + lo)
+            ids.append(word)
+            lo, size = hi, 0
+        if hi < len(spoken):
+            size += len(spoken[hi]) + 1
+    _, _, _, _, _, hashes, of, share = _tables()
+    signs = np.concatenate(parts) if parts else np.zeros((0, len(LANGS), len(SIGNS)), np.float32)
+    at, word = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (words, ids))
+    # the language whose function words are spread most like the document's
+    n_words = np.zeros(n, np.int64)
+    letters = np.zeros(n, np.int64)
+    for k, x in zip(doc.tolist(), lines):
+        found = _WORD.findall(x)
+        n_words[k] += len(found)
+        letters[k] += sum(map(len, found))
+    counts = np.zeros((n, len(hashes) + 1))
+    np.add.at(counts, (doc[at], word), 1.0)
+    known = counts.sum(1)
+    counts[:, -1] = np.maximum(n_words - known, 0)
+    by_lang = divergences(counts / np.maximum(counts.sum(1), 1)[:, None], np.c_[share.T * FUNCTION_SHARE, np.full(len(LANGS), 1 - FUNCTION_SHARE)])
+    lang = by_lang.argmin(1)
+    own = signs[np.arange(len(doc)), lang[doc]].astype(np.float64)
+    total = own.sum(1)
+    q, kind_of_profile = _profiles()
+    near = divergences(own / np.maximum(total, 1e-9)[:, None], q)
+    by_kind = np.stack([near[:, kind_of_profile == k].min(1) for k in range(len(KINDS))], 1)
+    weighed = by_kind * np.minimum(total, LINE_SIGNS)[:, None]
+    cost = weighed.copy()
+    for k, part in enumerate(BESIDE, 1):
+        same = doc[k:] == doc[:-k]
+        cost[k:][same] += part * weighed[:-k][same]
+        cost[:-k][same] += part * weighed[k:][same]
+    kind = cost.argmin(1)
+    solid = np.array([len(x) - x.count(" ") - x.count("\t") for x in spoken], np.int64)
+    chars = np.stack([np.bincount(doc[kind == k], solid[kind == k], n) for k in range(len(KINDS))], 1).astype(np.int64) if len(doc) else np.zeros((n, len(KINDS)), np.int64)
+    solid_total = np.maximum(chars.sum(1), 1)
+    nearest = chars.argmax(1)
+    mean = np.bincount(doc, by_kind[np.arange(len(doc)), nearest[doc]] * solid, n) / solid_total if len(doc) else np.zeros(n)
+    marked = np.array([bool(_END_MARK.search(x)) for x in lines], bool)
+    n_lines = np.bincount(doc, minlength=n)
+    total = np.bincount(doc, total, n) if len(doc) else np.zeros(n)
+    odd = np.bincount(doc, own[:, SIGNS.index("symbol")] + own[:, SIGNS.index("cell")] / MARK_WEIGHTS["cell"], n) if len(doc) else np.zeros(n)
+    others = chars[:, 1:].sum(1)
+    seen, solid_any = n_lines > 0, chars.sum(1) > 0
+    ratio = lambda a, b: [float(x) / float(y) if y else None for x, y in zip(a, b)]
+    doc_kind = [None if not v else KINDS[1 + int(c[1:].argmax())] if 2 * o > c.sum() else KINDS[0] for v, o, c in zip(solid_any, others, chars)]
+    return pd.DataFrame({
+        "n_words": n_words, "n_lines": n_lines, "mean_word_length": ratio(letters, n_words), "symbol_ratio": ratio(odd, total), "end_mark_share": ratio(np.bincount(doc[marked], minlength=n) if len(doc) else n_lines, n_lines), "common_word_share": ratio(known, n_words),
+        "nearest_lang": [LANGS[k] if v else None for k, v in zip(lang, known > 0)], "word_divergence": [float(by_lang[k, lang[k]]) if n_words[k] else None for k in range(n)], "nearest_profile": [KINDS[k] if v else None for k, v in zip(nearest, solid_any)], "profile_divergence": [float(x) if v else None for x, v in zip(mean, solid_any)],
+        "speech_chars": chars[:, 0], "list_chars": chars[:, 1], "table_chars": chars[:, 2], "junk_chars": chars[:, 3], "doc_kind": doc_kind,
+    })
 
 
 FIELDS = "n_words long, n_lines long, mean_word_length double, symbol_ratio double, end_mark_share double, common_word_share double, nearest_lang string, word_divergence double, nearest_profile string, profile_divergence double, speech_chars long, list_chars long, table_chars long, junk_chars long, doc_kind string"
 
 
-def describe(text: str | None) -> tuple:
-    """The statistics of one text, in the order of FIELDS; see ``quality_stats``."""
-    lines = visible_lines(text) if text else []
-    if not lines:
-        return 0, 0, None, None, None, None, None, None, None, None, 0, 0, 0, 0, None
-    chars = {"speech": 0, "list": 0, "table": 0, "junk": 0}
-    for line, kind in zip(lines, structures(lines)):
-        solid = len(line) - line.count(" ") - line.count("\t")
-        if kind == "list" and not readable(line.lstrip("-*•·▪◦‣+–—0123456789[]().: ")):
-            kind = "junk"
-        elif kind == "speech":
-            bare = line
-            if "[" in line or "(" in line or "*" in line or "♪" in line or "#" in line:
-                bare = _SOUND.sub("", line).strip()
-                solid = len(bare) - bare.count(" ")
-            if solid and not readable(bare):
-                kind = "junk"
-        chars[kind] += solid
-    body = "\n".join(lines)
-    words = Counter(w.lower() for w in _WORD.findall(body))
-    n = sum(words.values())
-    by_lang = {lang: word_divergence(words, lang) for lang in _COMMON}
-    lang = min(by_lang, key=by_lang.get)
-    shares = class_shares(body)
-    by_profile = {k: divergence(shares, q) for k, q in PROFILES.items()}
-    profile = min(by_profile, key=by_profile.get)
-    total = sum(chars.values())
-    other = {k: v for k, v in chars.items() if k != "speech"}
-    kind = None if not total else max(other, key=other.get) if 2 * sum(other.values()) > total else "prose"
-    return (
-        n, len(lines), sum(len(w) * k for w, k in words.items()) / n if n else None, shares[6] + shares[5], sum(bool(_END_MARK.search(x)) for x in lines) / len(lines),
-        sum(k for w, k in words.items() if w in _ANY_COMMON) / n if n else None, lang, by_lang[lang], profile, by_profile[profile], chars["speech"], chars["list"], chars["table"], chars["junk"], kind,
-    )
-
-
 def quality_stats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of statistics per row of df.
 
     Counts are of the visible text: without headers, cue numbers, times, mark-up and
-    adverts. Each line counts as speech, entry, cells or noise by its form and by the
-    Jensen-Shannon divergence of its character classes from the profiles; doc_kind is
+    adverts. The language is the one whose function words are spread most like the
+    document's, by Jensen-Shannon divergence. Each line is a distribution of SIGNS, its
+    function words being those of that language, and takes the kind of the nearest profile,
+    the divergences of the lines beside it counting with it. doc_kind is
     'prose' unless more than half of the characters are not running speech, then the most
-    frequent other kind. Null, empty and blank texts and texts with nothing visible have 0 counts,
-    null shares and a null doc_kind. Whole texts are read; repeated rows each get a row. No shuffle.
+    frequent other kind; nearest_profile is the kind of most characters and
+    profile_divergence the mean divergence from it. Null, empty and blank texts and texts with
+    nothing visible have 0 counts, null shares and a null doc_kind. Whole texts are read;
+    a line of more than PIECE signs is measured in pieces; repeated rows each get a row. No shuffle.
     """
-    names = [f.split()[0] for f in FIELDS.split(", ")]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            made = pd.DataFrame([describe(t) for t in b["_text"]], columns=names)
-            made.insert(0, key, b["_key"].to_numpy())
-            yield made
+            texts, lo, size = b["_text"].tolist(), 0, 0
+            for hi in range(len(texts) + 1):
+                if hi == len(texts) and hi > lo or size > 2 * CHUNK:
+                    made = describe_many(texts[lo:hi])
+                    made.insert(0, key, b["_key"].iloc[lo:hi].to_numpy())
+                    yield made
+                    lo, size = hi, 0
+                if hi < len(texts):
+                    size += len(texts[hi] or "")
 
     return df.select(F.col(key).cast("long").alias("_key"), F.col(text).cast("string").alias("_text")).mapInPandas(work, f"`{key}` long, {FIELDS}")
