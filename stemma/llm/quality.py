@@ -55,6 +55,8 @@ MARK_WEIGHTS = {"last end": 2.0, "comma": 2.0, "cell": 3.0, "bullet": 4.0, "firs
 BESIDE, LINE_SIGNS = (0.5, 0.25), 40
 #: Share of function words in the prose of every language.
 FUNCTION_SHARE = 0.5
+#: Words back within which a word is said again.
+NEAR_WORDS = 3
 #: Signs that are measured at once, and signs of a piece of a longer line.
 CHUNK, PIECE = 1_000_000, 20_000
 
@@ -66,8 +68,6 @@ _ADVERT = re.compile(r"https?:|www\.|\w@\w|\w\.(?:invalid|example|test|com|net|o
 #: Every advert holds one of these, in lower case.
 _ADVERT_SIGNS = ("http", "www.", "@", ".invalid", ".example", ".test", ".com", ".net", ".org", "vip", "remove all ads", "-= ", "encoded", "ripped", "synced", "subtitle", "caption", "translated", "sous-titres", "untertitel", "subtítulos")
 _SOUND = re.compile(r"\[[^\W\d_][^\W\d_ ,.'’-]*(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\]|\([^\W\d_]+(?:[ ,.'’-]+[^\W\d_]+){0,7}[.…]?\)|\*[^\W\d_]+(?: [^\W\d_]+){0,5}\*|[♪♫]+|(?<!\S)#(?!\S)")
-_WORD = re.compile(r"[^\W\d_]+")
-_END_MARK = re.compile(r"[.!?…:;\"»”)]\s*$")
 LANGS = tuple(COMMON_WORDS)
 KINDS = tuple(PROFILES)
 _LOWER, _UPPER, _OTHER, _DIGIT, _SPACE, _LINE, _MARK, _SYMBOL, _CELL, _BULLET, _DASH = range(11)
@@ -157,9 +157,21 @@ def _spoken(line: str) -> str:
     return _SOUND.sub("", line).strip() if "[" in line or "(" in line or "*" in line or "♪" in line or "#" in line else line
 
 
-def line_signs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _pieces(line: str) -> Iterator[str]:
+    """A line in pieces of at most PIECE signs, cut at white space where there is any."""
+    lo = 0
+    while len(line) - lo > PIECE:
+        at = line.rfind(" ", lo, lo + PIECE)
+        at = at if at > lo else lo + PIECE
+        yield line[lo:at]
+        lo = at
+    yield line[lo:]
+
+
+def line_signs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(lines x languages x signs: the weight of each sign in each line when the function
-    words are those of a language; line and number of each function word).
+    words are those of a language; line and number of each function word; of each line
+    its words, their letters, all signs but white space, and 1 for an end mark).
 
     All lines are measured together: classes by a table, words as runs of letters, known
     words by their hash."""
@@ -171,6 +183,7 @@ def line_signs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     line = np.repeat(np.arange(n), np.diff(np.r_[-1, ends]))
     starts = np.r_[0, ends[:-1] + 1]
     out = np.zeros((n, len(LANGS), len(SIGNS)), np.float32)
+    counts = np.zeros((n, 4), np.int64)
     found_line = found_word = np.empty(0, np.int64)
 
     def add(sign: str, at: np.ndarray, weight: float = 1.0) -> None:
@@ -202,15 +215,17 @@ def line_signs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         alone = (size == 1) & (left != _MARK) & (right != _MARK)
         odd = (humps > 0) & (humps + (uppers > 1) > 1) | (turns > 0) | latin & ((vowels == 0) & (size > 3) | (size > 25)) | ~known & latin & ((size <= 2) & tight | alone)
         order = np.lexsort((first, hashed, of_line))
-        said = np.zeros((2, len(first)), bool)  # before in the line: once, twice
+        said = np.zeros((2, len(first)), bool)  # shortly before in the line: once, twice
         for k in (1, 2):
-            said[k - 1][order[k:]] = (hashed[order[k:]] == hashed[order[:-k]]) & (of_line[order[k:]] == of_line[order[:-k]])
+            here, there = order[k:], order[:-k]
+            said[k - 1][here] = (hashed[here] == hashed[there]) & (of_line[here] == of_line[there]) & (here - there <= NEAR_WORDS * k)
         again = np.where(known, said[1], said[0]) | (size >= 8) & (variety <= 3) & latin
         case = np.where((uppers == size) & (size > 1), 3, np.where(uppers > 0, 2, 1))
         for k in range(len(LANGS)):
             sign = np.where(again, 5, np.where(known & of[at, k], 0, np.where(odd & ~known, 4, case)))
             out[:, k] += np.bincount(of_line * len(SIGNS) + sign, size, n * len(SIGNS)).reshape(n, -1)
         found_line, found_word = of_line[known], at[known]
+        counts[:, 0], counts[:, 1] = np.bincount(of_line, minlength=n), np.bincount(of_line, size, n)
         # a number behind the first word of a line numbers it, if that has a capital
         words_before = np.r_[0, np.cumsum(edge[:-1] == 1)]
     else:
@@ -237,7 +252,9 @@ def line_signs(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     add("dash", np.flatnonzero((kind == _DASH) & front), MARK_WEIGHTS["first dash"])
     add("dash", np.flatnonzero((kind == _DASH) & ~front))
     add("symbol", np.flatnonzero((kind == _SYMBOL) | (kind == _BULLET) & ~front))
-    return out, found_line, found_word
+    counts[:, 2] = np.bincount(line[(kind != _SPACE) & (kind != _LINE) & (code != 9)], minlength=n)
+    counts[:, 3] = (last >= starts) & ((kind[last] == _MARK) & ~comma[last] | np.isin(code[last], (ord(";"), ord(")"))))
+    return out, found_line, found_word, counts
 
 
 def describe_many(texts: list[str | None]) -> pd.DataFrame:
@@ -246,33 +263,27 @@ def describe_many(texts: list[str | None]) -> pd.DataFrame:
     lines, doc = [], []
     for k, t in enumerate(texts):
         for x in visible_lines(t) if t else ():
-            for lo in range(0, len(x), PIECE):
-                lines.append(x[lo : lo + PIECE])
+            for piece in _pieces(x):
+                lines.append(piece)
                 doc.append(k)
     doc = np.array(doc, np.int64)
     spoken = [_spoken(x) for x in lines]
-    parts, words, ids, lo, size = [], [], [], 0, 0
+    parts, lo, size = [], 0, 0
     for hi in range(len(spoken) + 1):  # so many signs at once
         if hi == len(spoken) and hi > lo or size > CHUNK:
-            signs, at, word = line_signs(spoken[lo:hi])
-            parts.append(signs)
-            words.append(at + lo)
-            ids.append(word)
+            signs, at, word, made = line_signs(spoken[lo:hi])
+            parts.append((signs, at + lo, word, made))
             lo, size = hi, 0
         if hi < len(spoken):
             size += len(spoken[hi]) + 1
     _, _, _, _, _, hashes, of, share = _tables()
-    signs = np.concatenate(parts) if parts else np.zeros((0, len(LANGS), len(SIGNS)), np.float32)
-    at, word = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (words, ids))
+    none = np.empty(0, np.int64)
+    signs, at, word, made = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros((0, len(LANGS), len(SIGNS)), np.float32), none, none, np.zeros((0, 4), np.int64))
+    of_doc = lambda x: np.bincount(doc, x, n) if len(doc) else np.zeros(n)
+    n_words, letters, solid = of_doc(made[:, 0]).astype(np.int64), of_doc(made[:, 1]), made[:, 2]
     # the language whose function words are spread most like the document's
-    n_words = np.zeros(n, np.int64)
-    letters = np.zeros(n, np.int64)
-    for k, x in zip(doc.tolist(), lines):
-        found = _WORD.findall(x)
-        n_words[k] += len(found)
-        letters[k] += sum(map(len, found))
     counts = np.zeros((n, len(hashes) + 1))
-    np.add.at(counts, (doc[at], word), 1.0)
+    counts += np.bincount(doc[at] * counts.shape[1] + word, minlength=counts.size).reshape(counts.shape)
     known = counts.sum(1)
     counts[:, -1] = np.maximum(n_words - known, 0)
     by_lang = divergences(counts / np.maximum(counts.sum(1), 1)[:, None], np.c_[share.T * FUNCTION_SHARE, np.full(len(LANGS), 1 - FUNCTION_SHARE)])
@@ -289,21 +300,17 @@ def describe_many(texts: list[str | None]) -> pd.DataFrame:
         cost[k:][same] += part * weighed[:-k][same]
         cost[:-k][same] += part * weighed[k:][same]
     kind = cost.argmin(1)
-    solid = np.array([len(x) - x.count(" ") - x.count("\t") for x in spoken], np.int64)
     chars = np.stack([np.bincount(doc[kind == k], solid[kind == k], n) for k in range(len(KINDS))], 1).astype(np.int64) if len(doc) else np.zeros((n, len(KINDS)), np.int64)
     solid_total = np.maximum(chars.sum(1), 1)
     nearest = chars.argmax(1)
-    mean = np.bincount(doc, by_kind[np.arange(len(doc)), nearest[doc]] * solid, n) / solid_total if len(doc) else np.zeros(n)
-    marked = np.array([bool(_END_MARK.search(x)) for x in lines], bool)
+    mean = of_doc(by_kind[np.arange(len(doc)), nearest[doc]] * solid) / solid_total
     n_lines = np.bincount(doc, minlength=n)
-    total = np.bincount(doc, total, n) if len(doc) else np.zeros(n)
-    odd = np.bincount(doc, own[:, SIGNS.index("symbol")] + own[:, SIGNS.index("cell")] / MARK_WEIGHTS["cell"], n) if len(doc) else np.zeros(n)
-    others = chars[:, 1:].sum(1)
-    seen, solid_any = n_lines > 0, chars.sum(1) > 0
+    odd = of_doc(own[:, SIGNS.index("symbol")] + own[:, SIGNS.index("cell")] / MARK_WEIGHTS["cell"])
+    others, solid_any = chars[:, 1:].sum(1), chars.sum(1) > 0
     ratio = lambda a, b: [float(x) / float(y) if y else None for x, y in zip(a, b)]
     doc_kind = [None if not v else KINDS[1 + int(c[1:].argmax())] if 2 * o > c.sum() else KINDS[0] for v, o, c in zip(solid_any, others, chars)]
     return pd.DataFrame({
-        "n_words": n_words, "n_lines": n_lines, "mean_word_length": ratio(letters, n_words), "symbol_ratio": ratio(odd, total), "end_mark_share": ratio(np.bincount(doc[marked], minlength=n) if len(doc) else n_lines, n_lines), "common_word_share": ratio(known, n_words),
+        "n_words": n_words, "n_lines": n_lines, "mean_word_length": ratio(letters, n_words), "symbol_ratio": ratio(odd, of_doc(solid)), "end_mark_share": ratio(of_doc(made[:, 3]), n_lines), "common_word_share": ratio(known, n_words),
         "nearest_lang": [LANGS[k] if v else None for k, v in zip(lang, known > 0)], "word_divergence": [float(by_lang[k, lang[k]]) if n_words[k] else None for k in range(n)], "nearest_profile": [KINDS[k] if v else None for k, v in zip(nearest, solid_any)], "profile_divergence": [float(x) if v else None for x, v in zip(mean, solid_any)],
         "speech_chars": chars[:, 0], "list_chars": chars[:, 1], "table_chars": chars[:, 2], "junk_chars": chars[:, 3], "doc_kind": doc_kind,
     })
@@ -315,8 +322,8 @@ FIELDS = "n_words long, n_lines long, mean_word_length double, symbol_ratio doub
 def quality_stats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of statistics per row of df.
 
-    Counts are of the visible text: without headers, cue numbers, times, mark-up and
-    adverts. The language is the one whose function words are spread most like the
+    Counts are of the visible text: without headers, cue numbers, times, mark-up,
+    adverts and sound descriptions. The language is the one whose function words are spread most like the
     document's, by Jensen-Shannon divergence. Each line is a distribution of SIGNS, its
     function words being those of that language, and takes the kind of the nearest profile,
     the divergences of the lines beside it counting with it. doc_kind is
