@@ -1,6 +1,8 @@
 import random
 
-from stemma.llm.leaks import leaked
+import numpy as np
+
+from stemma.llm.leaks import LEAST_TERMS, Passages, Steps, common_run, latent_space, leaked, term_weights, windows
 
 WORDS = "amber barrel candle dagger ember falcon garnet hammer island jasper kettle lantern marble needle orchard pebble quarry ribbon saddle timber umbrella velvet walnut yonder zephyr anchor beacon copper drizzle engine feather glacier harvest ivory jungle kernel ladder meadow nectar oyster".split()
 
@@ -37,3 +39,52 @@ def test_empty_tables(spark):
     assert leaked(docs.limit(0), items).count() == 0
     assert leaked(docs, items.limit(0)).count() == 0
     assert leaked(docs, items).count() == 0
+
+
+def test_any_number_of_foreign_cues_between(spark):
+    p = random.Random(5).choices(WORDS, k=20)
+    talk = "\n".join(f"{k}\n00:02:{k % 60:02d},000 --> 00:03:{k % 60:02d},000\nwell you know that I would say so and they go home\n" for k in range(60))
+    split = text_of(p[:10], per_cue=5) + "\n" + talk + "\n" + text_of(p[10:], per_cue=5)
+    docs = spark.createDataFrame([(1, split), (2, text_of(p[:10]) + "\n" + talk)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(p))], "item_id long, passage string")
+    assert [(r.doc_id, r.words) for r in leaked(docs, items).collect()] == [(1, 20)]
+
+
+def test_replaced_words_and_the_answer_check():
+    p = [int(x) for x in np.random.default_rng(3).permutation(40)[:20]]
+    weights = np.ones(50)
+    steps, doc = Steps(np.array(p), 50, weights), np.array(p)
+    run = lambda d, line=None: common_run(np.array(d), np.zeros(len(d), int) if line is None else np.array(line), steps, 50)
+    assert run(p) == (20, 1.0) and run(p[:9]) == (9, 1.0) and run([45, 46]) == (0, 0.0)
+    replaced = doc.copy()
+    replaced[[5, 10, 15]] = -1
+    assert run(replaced) == (17, 17 / 20)
+    assert run(p[:10] + [45] + p[10:]) == (20, 1.0)
+    assert run(p[:10] + [45] * 30 + p[10:])[0] == 10  # not within a cue
+    assert run(p[:10] + [45] * 3_000 + p[10:], [0] * 10 + [1] * 3_000 + [2] * 10)[0] == 20
+    weights[p[5]] = weights[p[10]] = 9.0
+    assert common_run(replaced, np.zeros(20, int), Steps(doc, 50, weights), 50) == (17, 17 / 36)
+
+
+def test_every_run_of_a_passage_keeps_terms_with_weight():
+    sequences = [np.arange(12, dtype=np.int32), np.arange(6, 30, dtype=np.int32), np.zeros(15, np.int32)]
+    w = term_weights(np.full(30, 90), 100, sequences, 12)
+    assert all(len(np.unique(s[lo : lo + 12][w[s[lo : lo + 12]] > 0])) >= min(LEAST_TERMS, len(set(s[lo : lo + 12].tolist()))) for s in sequences for lo in range(len(s) - 11))
+    assert (term_weights(np.array([1, 90]), 100, [], 12) > 0).tolist() == [True, False]
+
+
+def test_latent_space_against_a_whole_decomposition(spark):
+    rng = np.random.default_rng(1)
+    topics = [rng.permutation(60)[:20] for _ in range(5)]
+    docs = [np.array(rng.choice(topics[k % 5], 40), np.int32) for k in range(40)]
+    weights = rng.uniform(0.5, 2.0, 60)
+    rows = spark.createDataFrame([(k, bytearray(d.tobytes())) for k, d in enumerate(docs)], "doc_id long, ids binary").repartition(3)
+    passages = Passages([1], {str(k): k for k in range(60)}, [docs[0]])
+    _, row, term, w = windows([*docs, docs[0]], weights)
+    a = np.zeros((row.max() + 1, 60))
+    np.add.at(a, (row, term), w)
+    values = np.linalg.svd(a)[1]
+    whole = latent_space(rows, passages, weights, rank=60)
+    assert np.allclose(whole.values, values[: len(whole.values)], rtol=1e-3) and np.allclose(whole.basis.T @ whole.basis, np.eye(len(whole.values)), atol=1e-4)
+    some = latent_space(rows, passages, weights, rank=30)
+    assert np.allclose(some.values[:5], values[:5], rtol=0.05) and 0 < some.residual < 0.4
