@@ -39,6 +39,8 @@ RANK, COSINE = 256, 0.38
 #: Terms in more than this share of the documents get no weight, unless a run of LEAST_WORDS words of
 #: a passage would then have fewer than LEAST_TERMS terms with weight.
 COMMON_SHARE, LEAST_TERMS = 0.05, 3
+#: Groups into which partial sums of partitions are added up first.
+SUMS = 64
 #: Passages whose chunks a task holds at once; more are searched in blocks of this size, each
 #: over the term ids, not the texts.
 BLOCK = 20_000
@@ -127,12 +129,22 @@ class Vocabulary:
 LINE_END = -2
 
 
+_LAST: list = []  # of a worker, which takes many tasks
+
+
+def _vocabulary(terms: dict) -> Vocabulary:
+    """The vocabulary of these terms, with what it has looked up in earlier tasks of the worker."""
+    if not _LAST or _LAST[0].terms != terms:
+        _LAST[:] = [Vocabulary(terms)]
+    return _LAST[0]
+
+
 def token_rows(documents: DataFrame, terms: dict, key: str, text: str) -> DataFrame:
     """(doc_id, ids binary): of each document its words as term ids (int32), -1 for a word
     of no passage, LINE_END between lines; documents without words have no row."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(terms)
+        vocabulary = _vocabulary(terms)
         for b in batches:
             docs, ids = [], []
             for d, t in zip(b["_key"], b["_text"]):
@@ -265,7 +277,7 @@ def latent_space(tokens: DataFrame, passages: Passages, weights: np.ndarray, ran
         blocks = min(16, shape[0])
 
         def work(batches):
-            total, used = np.zeros(shape, np.float64), False
+            total, used = np.zeros(shape, np.float32), False
             for b in batches:
                 add(total, [of_bytes(raw)[0] for raw in b["ids"]])
                 used = True
@@ -273,13 +285,17 @@ def latent_space(tokens: DataFrame, passages: Passages, weights: np.ndarray, ran
                 yield pd.DataFrame({"block": range(blocks), "part": [x.tobytes() for x in np.array_split(total, blocks)]})
 
         def join(key, b):
-            return pd.DataFrame({"block": [key[0]], "part": [np.sum([np.frombuffer(x, np.float64) for x in b["part"]], axis=0).tobytes()]})
+            return pd.DataFrame({"block": [key[0]], "part": [np.sum([np.frombuffer(x, np.float32) for x in b["part"]], axis=0, dtype=np.float64).astype(np.float32).tobytes()]})
 
-        total = np.zeros(shape, np.float64)
+        total = np.zeros(shape, np.float32)
         add(total, passages.sequences)
+        total = total.astype(np.float64)
         rows = np.array_split(np.arange(shape[0]), blocks)
-        for r in tokens.mapInPandas(work, "block int, part binary").groupBy("block").applyInPandas(join, "block int, part binary").collect():  # one matrix in blocks
-            total[rows[r.block]] += np.frombuffer(r.part, np.float64).reshape(len(rows[r.block]), shape[1])
+        # in two steps, so that no task takes a block of every partition
+        parts = tokens.mapInPandas(work, "block int, part binary").withColumn("some", F.spark_partition_id() % SUMS)
+        parts = parts.groupBy("block", "some").applyInPandas(join, "block int, part binary").groupBy("block").applyInPandas(join, "block int, part binary")
+        for r in parts.collect():  # one matrix in blocks
+            total[rows[r.block]] += np.frombuffer(r.part, np.float32).reshape(len(rows[r.block]), shape[1])
         return total
 
     def entries(sequences: list[np.ndarray]):
@@ -365,7 +381,7 @@ def stretches(codes: np.ndarray, steps: Steps) -> list[tuple[int, int, int, int,
     return sorted((*r[:4], r[6]) for r in out if r[5])
 
 
-def common_run(doc: np.ndarray, line: np.ndarray, steps: Steps, size: int) -> tuple[int, float]:
+def common_run(codes: np.ndarray, line: np.ndarray, steps: Steps, least: int = 1) -> tuple[int, float]:
     """(words, answer): the most words of a passage that stand in sequence in a document, and
     the share that they have of the weight of the passage from the first to the last of them.
 
@@ -373,11 +389,12 @@ def common_run(doc: np.ndarray, line: np.ndarray, steps: Steps, size: int) -> tu
     where the last one ended in the passage, up to MISSING words aside, if what stands
     between in the document is lines of other cues, however many (the one ends its line and the other begins one,
     but for as many words as are missing), or a replaced or added word between stretches of SOLID
-    words each.
+    words each. Documents of which all stretches together have fewer than ``least`` words have none.
+    codes: of the document's neighbouring words (``step_codes``); line: of each of its words.
     """
-    found = stretches(step_codes(doc, size), steps)
-    first, last = np.r_[True, line[1:] != line[:-1]], np.r_[line[1:] != line[:-1], True]
-    begin, end = np.maximum.accumulate(np.where(first, np.arange(len(line)), 0)), np.flatnonzero(last)
+    found = stretches(codes, steps)
+    if sum(pj - pi + 1 for _, _, pi, pj, _ in found) < least:
+        return 0, 0.0
     chain: list[tuple] = []
     by_end: dict[int, list[int]] = {}
     best = -1
@@ -391,7 +408,8 @@ def common_run(doc: np.ndarray, line: np.ndarray, steps: Steps, size: int) -> tu
                     continue
                 near = between <= max(gap, 0) + 1 and (between == 0 or min(ep - ebegin, pj - pi) + 1 >= SOLID)
                 if not near and line[di] > line[ej]:
-                    near = int(end[np.searchsorted(end, ej)]) - ej + di - int(begin[di]) <= max(gap, 0) + 1
+                    rest = int(np.searchsorted(line, line[ej], "right")) - 1 - ej + di - int(np.searchsorted(line, line[di]))
+                    near = rest <= max(gap, 0) + 1
                 if near and t + pj - max(ep, pi - 1) > total:
                     total, before = t + pj - max(ep, pi - 1), k
         chain.append((di, dj, pi, pj, total, before, places))
@@ -455,10 +473,13 @@ def _candidates(tokens: DataFrame, item_ids: list, sequences: list[np.ndarray],
                     near = np.maximum.reduceat(x[lo : lo + 4096] @ chunk.T, first, axis=1)
                     r, c = np.nonzero(near >= COSINE)
                     pairs.update(zip(who[lo + r].tolist(), owner[first[c]].tolist()))
+            last, codes = -1, None
             for k, item in sorted(pairs):
+                if k != last:
+                    last, codes = k, step_codes(docs[k][0], len(weights))
                 if item not in steps:
                     steps[item] = Steps(sequences[item], len(weights), weights)
-                words, answer = common_run(*docs[k], steps[item], len(weights))
+                words, answer = common_run(codes, docs[k][1], steps[item], least)
                 if words * answer >= least and answer >= ANSWER:
                     out.append((b["doc_id"].iloc[k], item_ids[item], words))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "words"])

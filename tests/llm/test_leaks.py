@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from stemma.llm.leaks import LEAST_TERMS, Passages, Steps, common_run, latent_space, leaked, term_weights, windows
+from stemma.llm.leaks import LEAST_TERMS, Passages, Steps, common_run, latent_space, leaked, step_codes, term_weights, windows
 
 WORDS = "amber barrel candle dagger ember falcon garnet hammer island jasper kettle lantern marble needle orchard pebble quarry ribbon saddle timber umbrella velvet walnut yonder zephyr anchor beacon copper drizzle engine feather glacier harvest ivory jungle kernel ladder meadow nectar oyster".split()
 
@@ -54,7 +54,7 @@ def test_replaced_words_and_the_answer_check():
     p = [int(x) for x in np.random.default_rng(3).permutation(40)[:20]]
     weights = np.ones(50)
     steps, doc = Steps(np.array(p), 50, weights), np.array(p)
-    run = lambda d, line=None: common_run(np.array(d), np.zeros(len(d), int) if line is None else np.array(line), steps, 50)
+    run = lambda d, line=None: common_run(step_codes(np.array(d), 50), np.zeros(len(d), int) if line is None else np.array(line), steps)
     assert run(p) == (20, 1.0) and run(p[:9]) == (9, 1.0) and run([45, 46]) == (0, 0.0)
     replaced = doc.copy()
     replaced[[5, 10, 15]] = -1
@@ -63,7 +63,7 @@ def test_replaced_words_and_the_answer_check():
     assert run(p[:10] + [45] * 30 + p[10:])[0] == 10  # not within a cue
     assert run(p[:10] + [45] * 3_000 + p[10:], [0] * 10 + [1] * 3_000 + [2] * 10)[0] == 20
     weights[p[5]] = weights[p[10]] = 9.0
-    assert common_run(replaced, np.zeros(20, int), Steps(doc, 50, weights), 50) == (17, 17 / 36)
+    assert common_run(step_codes(replaced, 50), np.zeros(20, int), Steps(doc, 50, weights)) == (17, 17 / 36)
 
 
 def test_every_run_of_a_passage_keeps_terms_with_weight():
