@@ -1,4 +1,4 @@
-from stemma.llm.canonical import canonicalise, core
+from stemma.llm.canonical import canonicalise, common_words, core
 from stemma.llm.edits import deletes, skeleton, weighted_distance
 
 REFS = [
@@ -31,3 +31,11 @@ def test_distances_and_deletes():
     assert deletes("abc", 1) == {"abc", "ab", "ac", "bc"}
     assert weighted_distance("abcd", "abdc") < 1 and weighted_distance("abc", "abc") == 0 and weighted_distance("0a", "oa") == 0.5
     assert skeleton("Huza0ra") == "huzaora" and core("United Provinces of Stenoia") == "Stenoia" and core("Mokolastan Republic") == "Mokolastan"
+
+
+def test_whole_values_come_before_their_parts(spark):
+    refs = spark.createDataFrame([("c", 1, "Bosnia and Herzegovina", [], ["BA"]), ("c", 2, "Saint Livufoia", [], []), ("c", 3, "Saint Mupistaimark", [], []), ("c", 4, "Meduwostan", [], [])], "field_name string, ref_id long, name string, others array<string>, codes array<string>")
+    cases = {"Bosnia and Herzegovina": 1, "Bosnia and Hercegovina": 1, "Saint": -1, "S. Livufoia": 2, "Saint Livufoia / Meduwostan": -1, "Kingdom of Saint Livufoia": 2}
+    rows = spark.createDataFrame([("c", k, v) for k, v in enumerate(cases)], "field_name string, row_key long, value string")
+    got = {list(cases)[r.row_key]: r.ref_id for r in canonicalise(rows, refs).collect()}
+    assert common_words(refs) == {"c": {"saint"}} and got == cases
