@@ -201,6 +201,17 @@ def full_authority(attrs: dict[str, Column], doc_author: Column, doc_date: Colum
     return let(let(F.struct(base.alias("base"), named.alias("own")), without_base), chosen)
 
 
+def authority_notes(attrs: dict[str, Column], defining: Column) -> Column:
+    """What is noted of a taxon's authority: (base, own: the bracketed parts that go; year: the
+    document's date stands in for its year; document: its author and date for all of it)."""
+    get = lambda k: attrs.get(k, F.lit(None).cast("string"))
+    name, year, base_name, other = (get(k) for k in ("authorityName", "authorityYear", "baseAuthorityName", "authority"))
+    part = lambda c: F.when(present(c), bracketed(title_case_shouted(strip_in(c))))
+    undated = lambda c: present(c) & year.isNull() & ~F.coalesce(c.rlike("[0-9]"), F.lit(False))
+    late = defining & (undated(remove_bracketed(title_case_shouted(strip_in(name)))) | (~present(name) & ~present(base_name) & undated(strip_in(other))))
+    return F.struct(part(base_name).alias("base"), part(name).alias("own"), late.alias("year"), (defining & ~present(name) & ~present(base_name) & ~present(other)).alias("document"))
+
+
 def rank_group(get) -> Column:
     """The group of the lowest rank that a taxon has; get(rank) is its nullable epithet."""
     groups = (("species", ("species",)), ("genus", ("genus",)), ("tribe", ("tribe", "subTribe")), ("family", ("family", "subFamily")), ("order", ("order", "subOrder")), ("class", ("class", "subClass")), ("phylum", ("phylum", "subPhylum")), ("kingdom", ("kingdom",)))

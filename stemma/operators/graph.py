@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 from stemma.operators import tree
-from stemma.operators.hierarchy import attr, concept_uri, levels, name_statements, name_uri, present_ranks, with_parents
+from stemma.operators.hierarchy import attr, concept_uri, levels, name_statements, name_uri, present_ranks, punctuated, with_parents
 from stemma.sources.tables import cut
 
 # --- fixed values: attributes that are not copied, and the names of those that are ---
@@ -22,6 +22,8 @@ NOT_COPIED_PATTERN = r"^_|\.|evidence|Evicence|lsidName"
 MATERIAL_TERMS = {"specimenCode": "dwc:catalogNumber", "collectionCode": "dwc:collectionCode", "typeStatus": "dwc:typeStatus", "latitude": "dwc:verbatimLatitude", "longitude": "dwc:verbatimLongitude", "elevation": "dwc:verbatimElevation", "collectingCountry": "dwc:countryCode", "collectingRegion": "dwc:stateProvince", "collectingMunicipality": "dwc:municipality", "collectingCounty": "dwc:county", "location": "dwc:locality", "locationDeviation": "dwc:verbatimLocality", "collectorName": "dwc:recordedBy", "collectingDate": "dwc:eventDate", "collectingMethod": "dwc:samplingProtocol", "ID-GBIF-Occurrence": "trt:gbifOccurrenceId", "ID-GBIF-Specimen": "trt:gbifSpecimenId"}
 DOUBTFUL = ("nomen dubium", "(nomen dubium)")
 NOT_DEFINING = (*DOUBTFUL, "ABSENT", "incertae sedis")
+#: Elements whose text is read.
+TEXT_TAGS = ("taxonomicNameLabel", "vernacularName", "MODSroleTerm", "MODSnamePart", "MODStitle", "MODSdate", "MODSdateIssued", "MODSclassification", "MODSdetail", "MODSstart", "MODSend")
 #: ISO 639-3 codes and their two-letter tags.
 LANGUAGES = {"eng": "en", "deu": "de", "fra": "fr", "spa": "es", "por": "pt", "ita": "it", "nld": "nl", "rus": "ru", "zho": "zh", "jpn": "ja", "pol": "pl", "ces": "cs", "swe": "sv", "dan": "da", "nor": "no", "fin": "fi", "hun": "hu", "tur": "tr", "ara": "ar", "lat": "la", "ell": "el", "ukr": "uk", "kor": "ko", "vie": "vi", "ind": "id", "swa": "sw", "cat": "ca", "eus": "eu", "glg": "gl", "ron": "ro"}
 # -----------------------------------------------------------------------------------
@@ -32,11 +34,11 @@ def valid_epithet(c: Column) -> Column:
     return (c != "") & (~c.rlike("[^a-zA-Z.\\-'’]") | c.rlike(r"(undefined|sp\.?|species)\s*-?[0-9]*\z"))
 
 
-def epithet_errors(get) -> Column:
-    """What is wrong with a treated taxon's rank and epithets: an array of messages."""
+def epithet_errors(get, own: Column) -> Column:
+    """What is wrong with a treated taxon's rank and epithets: an array of messages. ``own``
+    is the attribute that its rank names, whatever the rank."""
     rank = get("rank")
     wrong = lambda n, c: F.concat(F.lit(f"{n} "), T.string_literal(c), F.lit(" contains invalid characters"))
-    own = reduce(lambda a, r: a.when(rank == r, get(r)), ("kingdom", "phylum", "subPhylum", "class", "subClass", "order", "subOrder", "superFamily", "family", "subFamily", "tribe", "subTribe", "subGenus", "section", "subSection", "series", "species", "undef-species", "subSpecies", "variety", "form"), F.when(rank == "genus", get("genus")))
     needs = (("species", ("subSpecies", "variety")), ("genus", ("subGenus", "species", "subSpecies", "variety")), ("family", ("subFamily", "tribe", "subTribe")), ("order", ("subOrder",)), ("class", ("subClass",)), ("phylum", ("subPhylum",)))
     found = [F.when(~F.coalesce(valid_epithet(own), F.lit(False)), wrong("sigEpithet", T.normalize_space(own)))]
     found += [F.when(rank.isin(*ranks) & ~F.coalesce(valid_epithet(get(n)), F.lit(False)), wrong(n, get(n))) for n, ranks in needs]
@@ -53,21 +55,29 @@ def document_rows(nodes: DataFrame) -> DataFrame:
 def treated_taxa(nodes: DataFrame) -> DataFrame:
     """The first name below a nomenclature of each document, with its status (the
     attribute, else a label behind it, else a label of its rank, else ABSENT)."""
-    own = nodes.where((F.col("tag") == "taxonomicName") & tree.below("document", "treatment", "subSubSection[nomenclature]"))
+    own_names = nodes.where("tag = 'taxonomicName'")
+    own = own_names.where(tree.below("document", "treatment", "subSubSection[nomenclature]"))
     first = own.groupBy("doc_path").agg(F.min_by(F.struct("node_id", "parent_id", "sib_ord", "attrs"), "node_id").alias("t")).select("doc_path", "t.*")
-    labels = nodes.where("tag = 'taxonomicNameLabel'").select(F.col("doc_path").alias("_d"), F.col("parent_id").alias("_p"), F.col("sib_ord").alias("_s"), F.col("node_id").alias("_n"), F.try_element_at("attrs", F.lit("rank")).alias("_r"), F.col("text").alias("_t"))
-    met = first.join(labels, (first["doc_path"] == labels["_d"]) & (first["parent_id"] == labels["_p"]), "left")
-    said = met.groupBy("doc_path").agg(F.min_by("_t", F.when(F.col("_s") > F.col("sib_ord"), F.col("_n"))).alias("behind"), F.min_by("_t", F.when(F.col("_r") == attr("rank"), F.col("_n"))).alias("ranked"))
+    # labels anywhere below the name's parent; "behind": with a name before it among its own siblings
+    names = own_names.groupBy("doc_path", "parent_id").agg(F.min("sib_ord").alias("_f")).select(F.col("doc_path").alias("_e"), F.col("parent_id").alias("_q"), "_f")
+    labels = nodes.where("tag = 'taxonomicNameLabel'").select(F.col("doc_path").alias("_d"), F.col("parent_id").alias("_p"), F.col("sib_ord").alias("_s"), F.col("node_id").alias("_n"), F.transform("ancestors", lambda a: a["node_id"]).alias("_a"), F.try_element_at("attrs", F.lit("rank")).alias("_r"), F.col("text").alias("_t"))
+    labels = labels.join(names, (F.col("_d") == F.col("_e")) & (F.col("_p") == F.col("_q")), "left").withColumn("_behind", F.coalesce(F.col("_s") > F.col("_f"), F.lit(False)))
+    met = first.join(labels, (first["doc_path"] == labels["_d"]) & F.array_contains(labels["_a"], first["parent_id"]), "left")
+    said = met.groupBy("doc_path").agg(F.min_by("_t", F.when(F.col("_behind"), F.col("_n"))).alias("behind"), F.min_by("_t", F.when(F.col("_r") == attr("rank"), F.col("_n"))).alias("ranked"))
     return first.join(said, "doc_path").withColumn("taxon_status", F.coalesce(attr("status"), "behind", "ranked", F.lit("ABSENT"))).drop("behind", "ranked")
 
 
+def outermost() -> Column:
+    """Is a node an outermost citation of a reference group?"""
+    group = F.exists("ancestors", lambda a: (a["tag"] == "subSubSection") & F.coalesce(a["type"] == "reference_group", F.lit(False)))
+    tag = F.col("tag")
+    return group & ((tag == "treatmentCitationGroup") | ((tag == "treatmentCitation") & ~tree.inside_any("treatmentCitationGroup")) | ((tag == "taxonomicName") & ~tree.inside_any("treatmentCitation", "treatmentCitationGroup")))
+
+
 def cited_taxa(nodes: DataFrame) -> DataFrame:
     """The name of each outermost citation of a reference group, in document order."""
-    group = F.exists("ancestors", lambda a: (a["tag"] == "subSubSection") & F.coalesce(a["type"] == "reference_group", F.lit(False)))
-    cites = nodes.where(F.col("tag").isin("treatmentCitationGroup", "treatmentCitation", "taxonomicName") & group)
-    outer = cites.where(((F.col("tag") == "treatmentCitationGroup")) | ((F.col("tag") == "treatmentCitation") & ~tree.inside_any("treatmentCitationGroup")) | ((F.col("tag") == "taxonomicName") & ~tree.inside_any("treatmentCitation", "treatmentCitationGroup")))
     names = nodes.where("tag = 'taxonomicName'")
-    first = tree.first_below(outer, names).where("first_id is not null").select("doc_path", F.col("node_id").alias("ord"), F.col("first_id").alias("node_id"))
+    first = tree.first_below(nodes.where(outermost()), names).where("first_id is not null").select("doc_path", F.col("node_id").alias("ord"), F.col("first_id").alias("node_id"))
     return first.join(names.select("doc_path", "node_id", "attrs"), ["doc_path", "node_id"])
 
 
@@ -75,7 +85,7 @@ def events(nodes: DataFrame, host: str) -> DataFrame:
     """One row per treated (ord -1) and cited taxon with class, addresses and year."""
     docs = document_rows(nodes)
     treated, cited = treated_taxa(nodes), cited_taxa(nodes)
-    t = treated.select("doc_path", F.lit(-1).alias("ord"), "attrs", "taxon_status").join(docs, "doc_path").withColumn("errors", epithet_errors(attr))
+    t = treated.select("doc_path", F.lit(-1).alias("ord"), "attrs", "taxon_status").join(docs, "doc_path").withColumn("errors", epithet_errors(attr, F.try_element_at("attrs", attr("rank"))))
     t = t.withColumn("bad", F.size("errors") > 0)
     own = t.select("doc_path", F.col("attrs").alias("t_attrs"))
     c = cited.select("doc_path", "ord", "attrs", F.lit(None).cast("string").alias("taxon_status")).join(docs, "doc_path").withColumn("errors", F.array().cast("array<string>")).withColumn("bad", F.lit(False))
@@ -84,9 +94,10 @@ def events(nodes: DataFrame, host: str) -> DataFrame:
     a = {k: attr(k) for k in ("authorityName", "authorityYear", "baseAuthorityName", "baseAuthorityYear", "authority", "kingdom")}
     author, date = F.try_element_at("d", F.lit("docAuthor")), F.try_element_at("d", F.lit("docDate"))
     e = e.withColumn("defining", defining).withColumn("authority", F.when(defining, T.full_authority(a, author, date, True)).otherwise(T.full_authority(a, author, date, False)))
+    e = e.withColumn("notes", T.authority_notes(a, F.coalesce(F.col("defining"), F.lit(False))))
     e = e.withColumn("year", T.first_year("authority")).withColumn("rank_group", T.rank_group(attr))
     e = e.withColumn("relation", T.taxon_relation(attr, lambda k: attr(k, "t_attrs"), F.col("ord") >= 0, F.col("t_attrs").isNotNull()))
-    e = e.withColumn("tnuri", name_uri(attr("rank"), present_ranks(), host=host))
+    e = e.withColumn("tnuri", name_uri(attr("rank"), present_ranks(), host=host)).withColumn("punctuated", punctuated(attr("rank"), present_ranks()))
     short = F.concat(F.lit("_"), T.authority_for_uri("authority"), F.lit("_"), T.partial_uri("year"))
     e = e.withColumn("uri", F.when(F.col("authority") != "INVALID", concept_uri(short, host=host)))
     guard = (F.col("rank_group") == "INVALID") | ~T.present(attr("kingdom")) | ((F.col("rank_group") == "species") & ~T.present(attr("genus")))
@@ -120,21 +131,50 @@ def _long(df: DataFrame, kind: str, subject: Column, props: list, order: Column)
     return df.select("doc_path", F.lit(kind).alias("kind"), subject.alias("subject"), order.cast("long").alias("ord"), F.explode(items).alias("x")).select("doc_path", "kind", "subject", "x.predicate", "x.object", "ord")
 
 
-def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST, material_base: str | None = None) -> DataFrame:
+#: The messages of failed documents.
+LOST = "the treated name has no address"
+NO_NAME_PART = "an author has no name part"
+NO_FIGURE = "a figure has neither link nor DOI"
+
+
+def failures(nodes: DataFrame, e: DataFrame) -> DataFrame:
+    """(doc_path, message): documents that fail while they are read, with the first reason."""
+    lost = e.where("class = 'F' and ord < 0").select("doc_path", F.lit(0).alias("at"), F.lit(LOST).alias("message"))
+    authors = _persons(nodes).where("role rlike '(?i)author' and part is null").select("doc_path", F.lit(1).alias("at"), F.lit(NO_NAME_PART).alias("message"))
+    figures = nodes.where((F.col("tag") == "figureCitation") & (F.map_contains_key("attrs", "httpUri") | F.map_contains_key("attrs", "figureDoi")) & ~T.present(attr("httpUri")) & ~T.present(attr("figureDoi"))).select("doc_path", F.lit(2).alias("at"), F.lit(NO_FIGURE).alias("message"))
+    return lost.unionByName(authors).unionByName(figures).groupBy("doc_path").agg(F.min_by("message", "at").alias("message"))
+
+
+def comments(nodes: DataFrame, paths: DataFrame, e: DataFrame) -> DataFrame:
+    """(doc_path, ord, line): the remarks of a document that belong to no subject, in order; of
+    a failed one its error last."""
+    failed = failures(nodes, e)
+    rows = diagnostic_rows(nodes, paths, e).where("place = 'document'").select("doc_path", F.when(F.col("level") == 3, F.lit(1 << 40)).otherwise(F.col("ord")).alias("ord"), F.concat(F.when(F.col("level") == 1, F.lit("# Warning: ")).otherwise(F.lit("# Error: ")), T.fold_error("message")).alias("line"), "key")
+    # a document that fails before its materials are read says nothing of them
+    early = failed.where(F.col("message") != NO_FIGURE).select("doc_path")
+    rows = rows.where("key <> 'material'").unionByName(rows.where("key = 'material'").join(early, "doc_path", "left_anti"))
+    return rows.select("doc_path", "ord", "line")
+
+
+def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST, material_base: str | None = None, taxa: DataFrame | None = None) -> DataFrame:
     """(doc_path, kind, subject, predicate, object, ord): all statements of all documents.
 
-    Statements whose address can't be made are left out and turn up in ``diagnostics``.
+    taxa: the rows of ``events``, if they are at hand. Documents that fail (``failures``) have
+    none; cited names whose address can't be made are an error remark of the treatment.
     """
     docs = cut(document_rows(nodes))
-    e = cut(events(nodes, host))
+    e = taxa if taxa is not None else cut(events(nodes, host))
     get = lambda k: F.try_element_at("d", F.lit(k))
     treatment = T.uri(F.concat(F.lit(f"http://treatment.{host}/id/"), F.col("doc_id")))
     authors = _authors(nodes)
     d = docs.join(authors, "doc_path", "left").withColumn("creator", T.string_literal("authors")).withColumn("publication", T.publication_uri(get("ID-DOI"), get("docSource"), get("masterDocId"), host))
-    bad = e.where("bad").select("doc_path", F.explode("errors").alias("object"))
+    about = lambda rows, predicate, o: rows.select("doc_path", "doc_id", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit(predicate).alias("predicate"), o.alias("object"), F.lit(0).cast("long").alias("ord")).drop("doc_id")
+    short = F.when(F.col("authority") == "INVALID", F.col("tnuri")).otherwise(F.col("uri"))
     out = [
         _long(d, "treatment", treatment, [("dc:title", F.when(get("docTitle").isNotNull(), T.string_literal(get("docTitle")))), ("dc:creator", F.col("creator")), ("trt:publishedIn", F.col("publication")), ("a", F.lit("trt:Treatment"))], F.lit(0)),
-        bad.join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit("# Warning: Could not add treatment taxon because").alias("predicate"), "object", F.lit(0).cast("long").alias("ord")),
+        about(e.where("bad").withColumn("error", F.explode("errors")), "# Warning: Could not add treatment taxon because", F.col("error")),
+        about(e.where("class = 'R'"), "# Warning:", F.concat(F.lit("Not adding 'trt:citesTaxonName "), short, F.lit("' due to issues with rank"))),
+        about(e.where("class = 'F' and ord >= 0"), "# Error:", F.lit("Could not add TaxonConceptCitation\nno address can be made of the name")),
         citation_sets(e).join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), "predicate", "object", F.lit(0).cast("long").alias("ord")),
         _publication(nodes, d),
     ]
@@ -145,6 +185,11 @@ def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST, material_base: str
     first = F.min_by("authority", "ord").over(Window.partitionBy("doc_path", "uri").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     made = made.withColumn("named_by", first)
     out.append(_long(made, "concept", F.col("uri"), [("trt:hasTaxonName", F.col("tnuri")), ("dwc:scientificNameAuthorship", F.when(whole, T.string_literal("named_by"))), ("# Error:", F.when(F.col("rank_group") == "INVALID", F.lit("Invalid Rank"))), ("# Error:", F.when(F.col("relation") == "NONE", F.lit("Invalid taxon relation"))), ("a", F.lit("dwcFP:TaxonConcept"))], order))
+    noted = made.where(whole)
+    removed = lambda which, what: ("# Warning:", F.when(F.col(f"notes.{which}").isNotNull(), F.concat(F.lit('Removing "'), F.col(f"notes.{which}"), F.lit(f'" from {what}'))))
+    author, date = get("docAuthor"), get("docDate")
+    of_document = lambda o: F.when(F.col("notes.document"), o)
+    out.append(_long(noted, "concept", F.col("uri"), [removed("base", "baseAuthority"), removed("own", "authority"), ("# Warning:", F.when(F.col("notes.year"), F.lit("Using document metadata for authority year"))), ("dwc:authority", of_document(T.string_literal("authority"))), ("dwc:authorityName", of_document(T.string_literal(T.shorten_authors(author)))), ("dwc:authorityYear", of_document(T.string_literal(date))), ("# Info:", of_document(F.lit("authority attributes generated from docAuthor")))], order))
     out.append(attribute_statements(made.where(whole).select("doc_path", F.col("uri").alias("subject"), order.cast("long").alias("ord"), "attrs"), "attrs").withColumn("kind", F.lit("concept")))
     # names: created with their parents by T and D, only added to by C and first I
     base = e.where("class in ('T', 'D', 'C', 'I')").select("doc_path", "ord", "class", "attrs")
@@ -157,7 +202,8 @@ def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST, material_base: str
     out.append(_vernacular(nodes, e))
     out += _figures(nodes, docs, treatment, d)
     out += _materials(nodes, docs, treatment, host, material_base)
-    return reduce(lambda a, b: a.unionByName(b), (x.select("doc_path", "kind", "subject", "predicate", "object", F.col("ord").cast("long").alias("ord")) for x in out)).where("subject is not null")
+    made = reduce(lambda a, b: a.unionByName(b), (x.select("doc_path", "kind", "subject", "predicate", "object", F.col("ord").cast("long").alias("ord")) for x in out)).where("subject is not null")
+    return made.join(failures(nodes, e).select("doc_path"), "doc_path", "left_anti")
 
 
 def attribute_statements(rows: DataFrame, attrs: str) -> DataFrame:
@@ -170,17 +216,19 @@ def attribute_statements(rows: DataFrame, attrs: str) -> DataFrame:
     return items.select("doc_path", "subject", predicate.alias("predicate"), said.alias("object"), "ord")
 
 
-def _authors(nodes: DataFrame) -> DataFrame:
-    """(doc_path, authors): the names of all persons whose role is author, in order."""
-    roles = nodes.where("tag = 'MODSroleTerm'").select(F.col("doc_path").alias("_d"), F.col("node_id").alias("_r"), F.col("text").alias("_t"))
-    parts = nodes.where("tag = 'MODSnamePart'").select(F.col("doc_path").alias("_d"), F.col("node_id").alias("_r"), F.col("text").alias("_t"))
-    persons = nodes.where("tag = 'MODSname'").select("doc_path", "node_id", "subtree_end")
+def _persons(nodes: DataFrame) -> DataFrame:
+    """(doc_path, node_id, role, part): each person of the bibliographic records with the first
+    role and the first name part below."""
+    persons = nodes.where("tag = 'MODSname'").select("doc_path", F.col("node_id").alias("_id"), "subtree_end")
+    below = nodes.where("tag in ('MODSroleTerm', 'MODSnamePart')").select(F.col("doc_path").alias("_d"), F.col("node_id").alias("_r"), "tag", "text")
+    met = persons.join(below, (F.col("doc_path") == F.col("_d")) & (F.col("_r") > F.col("_id")) & (F.col("_r") < F.col("subtree_end")), "left")
+    of = lambda tag: F.min_by("text", F.when(F.col("tag") == tag, F.col("_r")))
+    return met.groupBy("doc_path", F.col("_id").alias("node_id")).agg(of("MODSroleTerm").alias("role"), of("MODSnamePart").alias("part"))
 
-    def of(what, name):
-        met = persons.join(what, (F.col("doc_path") == F.col("_d")) & (F.col("_r") > F.col("node_id")) & (F.col("_r") < F.col("subtree_end")))
-        return met.groupBy("doc_path", "node_id").agg(F.min_by("_t", "_r").alias(name))
 
-    known = of(roles, "role").where("role rlike '(?i)author'").join(of(parts, "part"), ["doc_path", "node_id"])
+def _authors(nodes: DataFrame) -> DataFrame:
+    """(doc_path, authors): the names of all persons whose role is author, in order."""
+    known = _persons(nodes).where("role rlike '(?i)author' and part is not null")
     return known.groupBy("doc_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_id", F.trim("part").alias("p")))), lambda x: x["p"]), "; ").alias("authors"))
 
 
@@ -238,19 +286,58 @@ def _materials(nodes: DataFrame, docs: DataFrame, treatment: Column, host: str,
     return [own, basis]
 
 
-def diagnostics(nodes: DataFrame, paths: DataFrame, host: str = T.DEFAULT_HOST) -> DataFrame:
-    """(doc_path, level, message): 3 failed, 2 error, 1 warning; documents without any are absent."""
+def diagnostic_rows(nodes: DataFrame, paths: DataFrame, e: DataFrame, host: str = T.DEFAULT_HOST) -> DataFrame:
+    """(doc_path, ord, level, key, place, message): all that is remarked of documents; level 3 is
+    failed, 2 error, 1 warning, 0 information; place is 'document' for what no subject carries,
+    'log' for what no output carries."""
     docs = document_rows(nodes)
-    e = events(nodes, host)
-    none = paths.select("doc_path").distinct().join(docs, "doc_path", "left_anti").select("doc_path", F.lit(3).alias("level"), F.lit("missing <document>").alias("message"))
+    row = lambda df, order, level, key, place, message: df.select("doc_path", (F.lit(order) if isinstance(order, int) else order).cast("long").alias("ord"), (F.lit(level) if isinstance(level, int) else level).alias("level"), F.lit(key).alias("key"), F.lit(place).alias("place"), (F.lit(message) if isinstance(message, str) else message).alias("message"))
+    none = paths.select("doc_path").distinct().join(docs, "doc_path", "left_anti")
     t = docs.join(treated_taxa(nodes).select("doc_path", "attrs"), "doc_path", "left")
-    lacking = t.where("attrs is null").select("doc_path", F.lit(2).alias("level"), F.lit("treatment lacks a taxon").alias("message"))
-    crown = t.where(F.col("attrs").isNotNull() & ~T.present(attr("kingdom"))).select("doc_path", F.lit(1).alias("level"), F.lit("missing ancestor kingdom").alias("message"))
-    epithets = e.where("bad").select("doc_path", F.lit(1).alias("level"), F.explode("errors").alias("message"))
-    level = F.when(F.col("class") == "R", 1).when((F.col("class") == "F") & (F.col("ord") >= 0), 2).when(F.col("class") == "F", 3)
-    ranks = e.where("class in ('R', 'F')").select("doc_path", level.alias("level"), F.when(F.col("class") == "R", F.lit("issues with rank")).otherwise(F.lit("no address for a taxon name")).alias("message"))
-    m = nodes.where((F.col("tag") == "materialsCitation") & ~T.present(attr("id")) & ~T.present(attr("httpUri")) & ~T.present(attr("specimenCode"))).select("doc_path", F.lit(1).alias("level"), F.lit("material without identifier").alias("message"))
-    return reduce(lambda a, b: a.unionByName(b), (none, lacking, crown, epithets, ranks, m))
+    cited = nodes.where(outermost())
+    base = e.where("class in ('T', 'D', 'C', 'I')").withColumn("recursive", F.col("class").isin("T", "D"))
+    leveled = name_statements(with_parents(levels(base.select("doc_path", "ord", "class", "recursive", "attrs"), host=host), ["doc_path", "ord"]))
+    once = base.where("class = 'I'").groupBy("doc_path", "tnuri").agg(F.min("ord").alias("_o")).select(F.col("doc_path").alias("_d"), "_o")
+    # only the first mention of a name without authority makes the name
+    leveled = leveled.join(once, (F.col("doc_path") == F.col("_d")) & (F.col("ord") == F.col("_o")), "left").where("recursive or (level = 0 and (class = 'C' or _o is not null))")
+    remarks = leveled.select("doc_path", "ord", F.explode(F.filter("props", lambda x: (x["predicate"] == "# Warning:") & (F.col("recursive") | (x["object"] != "Could not determine parent name")))).alias("x"))
+    order = F.col("ord") + 1
+    kept = e.where("class in ('T', 'C', 'D') and uri is not null and rank_group <> 'INVALID' and relation <> 'NONE'")
+    v = nodes.where(F.col("tag") == "vernacularName").select("doc_path", "node_id", T.string_literal(T.normalize_space("text")).alias("word"), attr("language").alias("code")).join(e.where("class = 'T'").select("doc_path"), "doc_path", "left_semi")
+    known = F.create_map(*(F.lit(x) for kv in LANGUAGES.items() for x in kv))
+    made = e.where("class in ('T', 'C', 'D') and uri is not null")
+    ignored = attribute_statements(kept.select("doc_path", F.col("uri").alias("subject"), order.cast("long").alias("ord"), "attrs"), "attrs").where("predicate = '# Warning:'")
+    noted = e.where("class in ('T', 'R', 'I', 'C', 'D', 'S')")
+    removed = lambda which, what: row(noted.where(F.col(f"notes.{which}").isNotNull()), order, 1, "bracket", "concept", F.concat(F.lit('Removing "'), F.col(f"notes.{which}"), F.lit(f'" from {what}')))
+    punctuation = leveled.where("punctuated").select("doc_path", "ord").unionByName(e.where("punctuated and class <> 'X'").select("doc_path", "ord")).distinct()
+    rows = [
+        row(none, 0, 3, "root", "document", "missing <document>"),
+        row(failures(nodes, e), F.lit(1 << 30), 3, "exception", "document", F.col("message")),
+        row(t.where("attrs is null"), 0, 2, "taxon", "document", "the treatment is lacking the taxon"),
+        row(t.where(F.col("attrs").isNotNull() & ~T.present(attr("kingdom"))), 0, 1, "kingdom", "document", "treatment taxon is missing ancestor kingdom"),
+        row(e.where("bad").withColumn("error", F.explode("errors")), 0, 1, "epithet", "treatment", F.col("error")),
+        row(e.where("class = 'T' and authority = 'INVALID'"), 0, 1, "authority", "log", F.concat(F.lit("Invalid Authority for "), F.col("tnuri"))),
+        row(made.where("rank_group = 'INVALID'"), order, 2, "rank", "concept", "Invalid Rank"),
+        row(made.where("relation = 'NONE'"), order, 2, "relation", "concept", "Invalid taxon relation"),
+        row(ignored, F.col("ord"), 1, "ignored", "concept", F.col("object")),
+        row(remarks, order, 1, "name", "name", F.col("x.object")),
+        removed("base", "baseAuthority"), removed("own", "authority"),
+        row(kept.where("notes.year"), order, 0, "year", "concept", "Using document metadata for authority year"),
+        row(kept.where("notes.document"), order, 0, "document authority", "concept", "authority attributes generated from docAuthor"),
+        row(e.where("class = 'R'"), order, 1, "cited rank", "treatment", "issues with rank"),
+        row(e.where("class = 'F' and ord >= 0"), order, 2, "citation", "treatment", "no address can be made of the name"),
+        row(tree.first_below(cited, nodes.where("tag = 'taxonomicName'")).where("first_id is null"), F.col("node_id"), 0, "nameless citation", "log", "found without taxonomicName"),
+        row(punctuation, order, 1, "punctuation", "log", "punctuation removed from a name"),
+        row(v.where(F.try_element_at(known, F.coalesce("code", F.lit(""))).isNull()), F.col("node_id"), 0, "language", "name", F.concat(F.lit("Couldn't generate language tag for "), F.col("word"), F.lit("@"), F.coalesce("code", F.lit("undefined")))),
+        row(nodes.where((F.col("tag") == "materialsCitation") & ~T.present(attr("id")) & ~T.present(attr("httpUri")) & ~T.present(attr("specimenCode"))), F.col("node_id"), 1, "material", "document", "Failed to output a material citation, could not create identifier"),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
+def diagnostics(nodes: DataFrame, paths: DataFrame, host: str = T.DEFAULT_HOST) -> DataFrame:
+    """(doc_path, level, key, message): 3 failed, 2 error, 1 warning, 0 information; documents
+    without any are absent."""
+    return diagnostic_rows(nodes, paths, cut(events(nodes, host)), host).select("doc_path", "level", "key", "message")
 
 
 def document_status(nodes: DataFrame, paths: DataFrame, host: str = T.DEFAULT_HOST) -> DataFrame:

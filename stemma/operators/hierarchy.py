@@ -26,20 +26,31 @@ def base_uri(kind: str, kingdom: Column, host: str) -> Column:
     return F.concat(F.lit(f"http://{kind}.{host}/id/"), kingdom)
 
 
-def name_end(rank: Column, ranks: Column, attrs: str = "attrs") -> Column:
-    """The end of a name's address at a rank, when only ``ranks`` count: null where none can be made."""
+def _parts(rank: Column, ranks: Column, attrs: str) -> Column:
+    """The words of a name's address at a rank, when only ``ranks`` count."""
     get = lambda n: attr(n, attrs)
     has = lambda n: F.array_contains(ranks, n)
     part = lambda n: F.when(has(n), get(n))
     none = F.lit(None).cast("string")
     names = F.array(get("genus"), F.when(get("isHybrid") == "true", F.lit("x")), F.when(has("species"), get("species")), *(F.when(~has("species"), get(n)).otherwise(none) for n in ("subGenus", "section", "subSection", "series")), *(part(n) for n in ("undef-species", "subSpecies", "variety", "form")))
-    kept = F.filter(names, lambda n: present(n) & ~n.rlike(NAME_MARK))
-    several = F.concat(F.lit("/"), partial_uri(F.array_join(F.transform(kept, remove_punctuation), "_")))
+    return F.filter(names, lambda n: present(n) & ~n.rlike(NAME_MARK))
+
+
+def name_end(rank: Column, ranks: Column, attrs: str = "attrs") -> Column:
+    """The end of a name's address at a rank, when only ``ranks`` count: null where none can be made."""
+    several = F.concat(F.lit("/"), partial_uri(F.array_join(F.transform(_parts(rank, ranks, attrs), remove_punctuation), "_")))
     single = remove_punctuation(normalize_space(F.try_element_at(F.col(attrs), rank)))
     one = F.when(present(single), F.concat(F.lit("/"), partial_uri(F.replace(single, F.lit("."), F.lit("")))))
     return F.when(rank == "kingdom", F.lit("")).when(rank.isin(*SPECIES_GROUP), several).otherwise(one)
 
 
+def punctuated(rank: Column, ranks: Column, attrs: str = "attrs") -> Column:
+    """Does a name's address at a rank leave out signs of its words?"""
+    changed = lambda x: remove_punctuation(x) != x
+    single = normalize_space(F.try_element_at(F.col(attrs), rank))
+    return F.coalesce(F.when(rank == "kingdom", F.lit(False)).when(rank.isin(*SPECIES_GROUP), F.exists(_parts(rank, ranks, attrs), changed)).otherwise(changed(single)), F.lit(False))
+
+
 def name_uri(rank: Column, ranks: Column, attrs: str = "attrs", host: str = DEFAULT_HOST) -> Column:
     """The address of a taxon's name; null where none can be made."""
     kingdom = F.when(present(attr("kingdom", attrs)), partial_uri(attr("kingdom", attrs))).otherwise(F.lit("INVALID"))
@@ -73,7 +84,7 @@ def levels(taxa: DataFrame, attrs: str = "attrs", host: str = DEFAULT_HOST) -> D
     below = F.when(at > 1, F.slice("_r", F.lit(1), F.greatest(at - 1, F.lit(0)))).otherwise(F.col("_r"))
     t = t.withColumn("_below", F.when(F.col("_lim").isNull(), F.col("_r")).otherwise(below))
     rank = F.when(F.col("_lim").isNotNull() & (at > 1), F.element_at("_below", -1)).otherwise(own)
-    t = t.withColumn("name_uri", name_uri(rank, F.col("_below"), attrs, host))
+    t = t.withColumn("name_uri", name_uri(rank, F.col("_below"), attrs, host)).withColumn("punctuated", punctuated(rank, F.col("_below"), attrs))
     t = t.withColumn("level_rank", F.get("_v", n - 1 - F.col("level")))
     ends = F.size("_lims") - 1
     t = t.withColumn("dead_end", (F.col("level") == ends) & ~F.coalesce(F.col("level_rank") == "kingdom", F.lit(False)))
@@ -94,6 +105,7 @@ def name_statements(leveled: DataFrame) -> DataFrame:
     pair = lambda p, o: F.struct(p.alias("predicate"), o.alias("object"))
     own = F.transform("_v", lambda r: pair(F.concat(F.lit("dwc:"), r), lit(r)))
     short = F.transform(F.filter("_v", lambda r: F.contains(F.try_element_at(F.col("attrs"), r), F.lit("."))), lambda r: pair(F.lit("# Warning:"), F.concat(F.lit("abbreviated "), r, F.lit(" "), string_literal(F.trim(F.try_element_at(F.col("attrs"), r))))))
+    ignored = F.transform(F.filter(F.map_keys("attrs"), lambda k: (F.array_contains("_r", k) | (k == attr("rank"))) & F.trim(F.try_element_at(F.col("attrs"), k)).rlike(RANK_MARK)), lambda r: pair(F.lit("# Warning:"), F.concat(F.lit("ignoring "), r, F.lit(" "), string_literal(F.trim(F.try_element_at(F.col("attrs"), r))))))
     above = F.array(*(F.when(F.array_contains(F.slice("_v", F.lit(1), F.greatest(F.size("_v") - F.col("level"), F.lit(0))), r), pair(F.lit(f"dwc:{r}"), lit(F.lit(r)))) for r in ("genus", "kingdom")), F.when(F.col("level_rank").isNotNull(), pair(F.concat(F.lit("dwc:"), F.col("level_rank")), lit(F.col("level_rank")))))
     always = F.array(F.when(F.col("level_rank").isNotNull(), pair(F.lit("dwc:rank"), string_literal(F.col("level_rank")))), F.when(F.col("parent_uri").isNotNull(), pair(F.lit("trt:hasParentName"), F.col("parent_uri"))), F.when(F.col("dead_end"), pair(F.lit("# Warning:"), F.lit("Could not determine parent name"))), pair(F.lit("a"), F.lit("dwcFP:TaxonName")))
-    return leveled.withColumn("props", F.array_compact(F.concat(F.when(F.col("level") == 0, F.concat(own, short)).otherwise(above), always)))
+    return leveled.withColumn("props", F.array_compact(F.concat(F.when(F.col("level") == 0, F.concat(own, short, ignored)).otherwise(above), always)))

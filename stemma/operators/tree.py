@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -16,13 +17,16 @@ _BLANKS = re.compile(r"\s+")
 _MODS = re.compile(r"(</?)mods:")
 #: HTML elements that never have an end tag (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Members of a JSON record that stand for a section of that type, and those for attributes and text.
+SECTIONS, SECTION, ATTRIBUTES, TEXT = ("nomenclature", "reference_group", "materials_examined", "multiple"), "subSubSection", "@attributes", "#text"
 
 
 class _Builder:
-    """Collects elements in document order."""
+    """Collects elements in document order, with the text of those whose tag is in ``texts``
+    (None: of all)."""
 
-    def __init__(self):
-        self.rows, self.open, self.children = [], [], {}
+    def __init__(self, texts: frozenset | None = None):
+        self.rows, self.open, self.children, self.texts = [], [], {}, texts
 
     def start(self, tag: str, attrs: dict) -> None:
         parent = self.open[-1] if self.open else None
@@ -39,13 +43,14 @@ class _Builder:
     def data(self, text: str) -> None:
         text = _BLANKS.sub(" ", text)
         for row in self.open:
-            row["text"].append(text)
+            if self.texts is None or row["tag"] in self.texts:
+                row["text"].append(text)
 
 
 class _Html(HTMLParser):
-    def __init__(self):
+    def __init__(self, texts: frozenset | None = None):
         super().__init__(convert_charrefs=True)
-        self.b = _Builder()
+        self.b = _Builder(texts)
 
     def handle_starttag(self, tag, attrs):
         self.b.start(tag, {k: v or "" for k, v in reversed(attrs)})
@@ -67,9 +72,9 @@ class _Html(HTMLParser):
             self.b.data(data)
 
 
-def parse_xml(text: str) -> list[dict]:
+def parse_xml(text: str, texts: frozenset | None = None) -> list[dict]:
     """The nodes of an XML text, 'mods:' read as part of plain names; [] if it is broken."""
-    b, parser = _Builder(), expat.ParserCreate(encoding="utf-8")
+    b, parser = _Builder(texts), expat.ParserCreate(encoding="utf-8")
     parser.buffer_text = True
     parser.StartElementHandler = lambda tag, attrs: b.start(tag, attrs)
     parser.EndElementHandler = lambda tag: b.end()
@@ -81,9 +86,56 @@ def parse_xml(text: str) -> list[dict]:
     return b.rows
 
 
-def parse_html(text: str) -> list[dict]:
+class _Members(list):
+    """A JSON object as its members in the order written."""
+
+
+_JSON = json.JSONDecoder(object_pairs_hook=_Members)
+
+
+def _as_text(value) -> str:
+    return value if isinstance(value, str) else json.dumps(value)
+
+
+def parse_json(text: str, texts: frozenset | None = None) -> list[dict]:
+    """The nodes of a JSON record: objects and lists of objects are elements of their member's
+    name, sections elements of that type, plain members and '@attributes' attributes; [] if it is broken
+    or its top level has other than one object."""
+    try:
+        top = _JSON.decode(text.lstrip("﻿"))
+    except (ValueError, RecursionError):
+        return []
+    b = _Builder(texts)
+    roots = [(name, x) for name, v in top for x in (v if isinstance(v, list) and not isinstance(v, _Members) else [v]) if isinstance(x, _Members)] if isinstance(top, _Members) else []
+    stack = [roots[0]] if len(roots) == 1 else []
+    while stack:  # depth first, in the order written
+        name, value = stack.pop()
+        if name is None:
+            b.end()
+            continue
+        tag, attrs, below = (SECTION, {"type": name}, []) if name in SECTIONS else (name, {}, [])
+        own = None
+        for k, v in value if isinstance(value, _Members) else ():
+            if k == ATTRIBUTES and isinstance(v, _Members):
+                attrs |= {a: _as_text(x) for a, x in v if not isinstance(x, list) and x is not None}
+            elif k == TEXT and v is not None:
+                own = _as_text(v)
+            elif isinstance(v, list):
+                below += [(k, x) for x in (v if not isinstance(v, _Members) else [v]) if x is not None]
+            elif v is not None:
+                attrs[k] = _as_text(v)
+        b.start(tag, attrs)
+        own = own if isinstance(value, _Members) else _as_text(value)
+        if own:
+            b.data(own)
+        stack.append((None, None))
+        stack.extend(reversed(below))
+    return b.rows
+
+
+def parse_html(text: str, texts: frozenset | None = None) -> list[dict]:
     """The nodes of an HTML text, however broken."""
-    parser = _Html()
+    parser = _Html(texts)
     parser.feed(text)
     parser.close()
     while parser.b.open:
@@ -91,22 +143,37 @@ def parse_html(text: str) -> list[dict]:
     return parser.b.rows
 
 
-def nodes(documents: DataFrame, path: str = "doc_path", content: str = "content", form: str = "xml") -> DataFrame:
+#: Rows of nodes that are handed over at once.
+BATCH = 10_000
+
+
+def nodes(documents: DataFrame, path: str = "doc_path", content: str = "content", form: str = "xml", texts: tuple | None = None) -> DataFrame:
     """One row per element (see NODES), numbered in document order; an element's subtree
-    is the numbers from its own to subtree_end. Null, blank and broken documents have no rows;
-    texts have runs of white space collapsed. No shuffle."""
-    parse = parse_html if form == "html" else parse_xml
+    is the numbers from its own to subtree_end. ``form`` is 'xml', 'json', 'html' or, for
+    'any', XML or JSON by the first sign. Null, blank and broken documents have no rows; texts have
+    runs of white space collapsed and are kept of elements whose tag is in ``texts`` (None: of
+    all, which holds each text once per level). No shuffle."""
+    parse = {"xml": parse_xml, "html": parse_html, "json": parse_json}.get(form, lambda t, kept: (parse_json if t.lstrip("﻿ \t\r\n")[:1] == "{" else parse_xml)(t, kept))
+    kept = None if texts is None else frozenset(texts)
+
+    def frame(rows: list[dict]) -> pd.DataFrame:
+        made = pd.DataFrame(rows)
+        made["text"] = ["".join(t) for t in made["text"]]
+        made["parent_id"] = made["parent_id"].astype("Int32")
+        return made[["doc_path", *(c for c in made.columns if c != "doc_path")]]
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[dict] = []
         for b in batches:
             for p, text in zip(b["_p"], b["_c"]):
-                rows = parse(text) if text and text.strip() else []
-                if rows:
-                    made = pd.DataFrame(rows)
-                    made["text"] = ["".join(t) for t in made["text"]]
-                    made["parent_id"] = made["parent_id"].astype("Int32")
-                    made.insert(0, "doc_path", p)
-                    yield made
+                for row in parse(text, kept) if text and text.strip() else []:
+                    row["doc_path"] = p
+                    held.append(row)
+                if len(held) >= BATCH:
+                    yield frame(held)
+                    held = []
+        if held:
+            yield frame(held)
 
     return documents.select(F.col(path).cast("string").alias("_p"), F.col(content).cast("string").alias("_c")).mapInPandas(work, NODES)
 

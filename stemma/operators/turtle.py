@@ -39,10 +39,13 @@ def subject_blocks(statements: DataFrame, by: list[str], subject: str = "subject
     return two.select(*by, subject, body.alias("block"))
 
 
-def documents_turtle(statements: DataFrame, paths: DataFrame, host: str = DEFAULT_HOST) -> DataFrame:
-    """(doc_path, turtle): one text per path, its blocks in the order of kinds, then of first mention."""
+def documents_turtle(statements: DataFrame, paths: DataFrame, host: str = DEFAULT_HOST, comments: DataFrame | None = None) -> DataFrame:
+    """(doc_path, turtle): one text per path, its comments (doc_path, ord, line) first, then its
+    blocks in the order of kinds, then of first mention."""
     order = statements.groupBy("doc_path", "subject").agg(F.min(F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))).alias("k"), F.min("ord").alias("ord"))
-    blocks = subject_blocks(statements, ["doc_path"]).join(order, ["doc_path", "subject"])
+    blocks = subject_blocks(statements, ["doc_path"]).join(order, ["doc_path", "subject"]).select("doc_path", "k", "ord", "subject", "block")
+    if comments is not None:
+        blocks = blocks.unionByName(comments.select("doc_path", F.lit(0).cast("long").alias("k"), F.col("ord").cast("long").alias("ord"), F.col("line").alias("subject"), F.col("line").alias("block")))
     texts = blocks.groupBy("doc_path").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "ord", "subject", "block"))), lambda b: b["block"]), "\n").alias("body"))
     failed = F.lit("# Error: Could not create RDF due to missing <document>")
     return paths.select("doc_path").distinct().join(texts, "doc_path", "left").select("doc_path", F.concat(F.lit(header(host) + "\n"), F.coalesce("body", failed)).alias("turtle"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stemma.functions import text as T
 from stemma.operators import tree
 from stemma.operators.flatten import flatten_records
-from stemma.operators.graph import LANGUAGES, cited_taxa, diagnostics, document_status, statements
+from stemma.operators.graph import LANGUAGES, TEXT_TAGS, cited_taxa, comments, diagnostics, document_status, events, statements
 from stemma.operators.hierarchy import RANKS, levels, with_parents
 from stemma.operators.status import apply_changes, latest, parse_status, status_lines, upsert
 from stemma.operators.turtle import documents_turtle, subject_blocks
@@ -347,17 +347,18 @@ def streamed_changes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "raw_records").where("payload_form = 'xml'")
-    return r.select(F.concat(F.lit("data/"), F.col("raw_id").cast("string"), F.lit(".xml")).alias("doc_path"), F.col("payload").alias("content"))
+    """All records, XML and JSON, as documents under a path each."""
+    r = table(spark, d, "raw_records")
+    return r.select(F.concat(F.lit("data/"), F.col("raw_id").cast("string"), F.lit("."), F.col("payload_form")).alias("doc_path"), F.col("payload").alias("content"))
 
 
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
-    return cut(tree.nodes(_pages(spark, d)))
+    return cut(tree.nodes(_pages(spark, d), form="any", texts=TEXT_TAGS))
 
 
 @query()
 def xml_nodes(spark: SparkSession, d: str) -> DataFrame:
-    return tree.nodes(_pages(spark, d)).select("doc_path", "node_id", "parent_id", "depth", "tag", "sib_ord", "subtree_end", "text")
+    return tree.nodes(_pages(spark, d), form="any").select("doc_path", "node_id", "parent_id", "depth", "tag", "sib_ord", "subtree_end", "text")
 
 
 @query()
@@ -372,7 +373,9 @@ def graph_statements(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def graph_turtle(spark: SparkSession, d: str) -> DataFrame:
-    return documents_turtle(cut(statements(_nodes(spark, d))), _pages(spark, d))
+    pages, nodes = _pages(spark, d), _nodes(spark, d)
+    taxa = cut(events(nodes, T.DEFAULT_HOST))
+    return documents_turtle(cut(statements(nodes, taxa=taxa)), pages, comments=comments(nodes, pages, taxa))
 
 
 @query()

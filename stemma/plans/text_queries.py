@@ -288,7 +288,8 @@ _WRONG = lambda n, c: f"'{n} ' || {json_sql(c)} || ' contains invalid characters
  CASE WHEN taxon_rank = 'subClass' AND NOT {_valid_sql('class_name')} THEN {_WRONG('class', 'class_name')} END,
  CASE WHEN taxon_rank = 'subPhylum' AND NOT {_valid_sql('phylum')} THEN {_WRONG('phylum', 'phylum')} END], lambda x: x IS NOT NULL), '; ') END AS errors FROM taxon_names""")
 def epithet_check(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "taxon_names").select("name_row_id", F.array_join(epithet_errors(taxon()), "; ").alias("errors"))
+    own = F.try_element_at(F.create_map(*(x for k in DYNAMIC for x in (F.lit(k), F.col(TAXON[k])))), F.coalesce("taxon_rank", F.lit("")))
+    return table(spark, d, "taxon_names").select("name_row_id", F.array_join(epithet_errors(taxon(), own), "; ").alias("errors"))
 
 
 @query(f"SELECT name_row_id, {GROUP_SQL.format(p='')} = 'INVALID' OR coalesce(kingdom, '') = '' OR (coalesce(species, '') <> '' AND coalesce(genus, '') = '') AS refused FROM taxon_names")

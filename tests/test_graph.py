@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 from stemma.operators import tree
-from stemma.operators.graph import citation_sets, document_status, statements
+from stemma.operators.graph import TEXT_TAGS, citation_sets, comments, diagnostics, document_status, events, statements
 from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, levels
 from stemma.operators.turtle import documents_turtle
 from stemma.sources.tables import cut
@@ -206,3 +206,57 @@ def test_text_functions_against_models(spark):
         assert json.loads(got[k].s) == (t or "")
     same = df.select(T.normalize_space("t").alias("a"), T.normalize_space(T.normalize_space("t")).alias("b")).where("a <> b")
     assert same.count() == 0
+
+
+TAXON = '<taxonomicName kingdom="Animalia" genus="{g}" rank="genus" {more}/>'
+REMARKS = {
+    "invalid_authority": (doc("", nomenclature=TAXON.format(g="Bus", more="")), {(1, "authority")}, 1),
+    "invalid_rank": (doc("", nomenclature='<taxonomicName kingdom="" genus="" superFamily="Xoidea" rank="superFamily" authorityName="Smith" authorityYear="1900"/>'), {(1, "kingdom"), (2, "rank"), (1, "name")}, 2),
+    "abbreviated": (doc("", nomenclature='<taxonomicName kingdom="Animalia" genus="B." species="cus" rank="species" authorityName="Smith" authorityYear="1900"/>'), {(1, "name"), (1, "punctuation")}, 1),
+    "no_parent": (doc("", nomenclature='<taxonomicName genus="Bus" rank="genus" authorityName="Smith" authorityYear="1900"/>'), {(1, "kingdom"), (1, "name")}, 1),
+    "ignored": (doc("", nomenclature='<taxonomicName kingdom="Animalia" genus="Bus" species="cus" variety="var." rank="species" authorityName="Smith" authorityYear="1900"/>'), {(1, "ignored"), (1, "name")}, 1),
+    "bracket": (doc("", nomenclature=TAXON.format(g="Bus", more='authorityName="Smith (ex Jones)" authorityYear="1900"')), {(1, "bracket")}, 1),
+    "year": (doc("", nomenclature=TAXON.format(g="Bus", more='status="gen. nov." authorityName="Smith"')), {(0, "year")}, 0),
+    "document": (doc("", nomenclature=TAXON.format(g="Bus", more='status="gen. nov."')), {(0, "document authority")}, 0),
+    "cited_rank": (doc(GROUP.format('<treatmentCitation><taxonomicName genus="Bus" rank="genus" authorityName="Smith" authorityYear="1900"/></treatmentCitation>')), {(1, "cited rank")}, 1),
+    "cited_lost": (doc(GROUP.format('<treatmentCitation><taxonomicName kingdom="Animalia" genus="Bus"/></treatmentCitation>')), {(2, "citation")}, 2),
+    "nameless": (doc(GROUP.format("<treatmentCitation>nobody</treatmentCitation>")), {(0, "nameless citation")}, 0),
+    "language": (doc('<vernacularName language="qqq">Zork</vernacularName>'), {(0, "language")}, 0),
+    "no_identifier": (doc('<materialsCitation collectorName="x"/>'), {(1, "material")}, 1),
+    "author_without_part": (doc('<mods:mods><mods:name><mods:role><mods:roleTerm>author</mods:roleTerm></mods:role></mods:name></mods:mods><materialsCitation collectorName="x"/>'), {(3, "exception"), (1, "material")}, 3),
+    "empty_figure": (doc('<materialsCitation collectorName="x"/><figureCitation httpUri="" figureDoi=""/>'), {(3, "exception"), (1, "material")}, 3),
+    "odd_rank": (doc("", nomenclature='<taxonomicName kingdom="Animalia" genus="Bus" clade="Cladus" rank="clade" authorityName="Smith" authorityYear="1900"/>'), set(), 0),
+    "label_below": (doc("", nomenclature='<taxonomicName kingdom="Animalia" genus="Bus" rank="genus" authorityName="Smith" authorityYear="1900"/><paragraph><taxonomicName kingdom="Animalia" genus="Cus" rank="genus"/><emphasis/><taxonomicNameLabel>gen. nov.</taxonomicNameLabel></paragraph>'), set(), 0),
+}
+
+
+def test_every_remark_has_its_level(spark):
+    src = spark.createDataFrame([(k, v[0]) for k, v in REMARKS.items()], "doc_path string, content string")
+    n = cut(tree.nodes(src, texts=TEXT_TAGS))
+    got = {}
+    for r in diagnostics(n, src).collect():
+        got.setdefault(r.doc_path, set()).add((r.level, r.key))
+    assert {k: got.get(k, set()) for k in REMARKS} == {k: v[1] for k, v in REMARKS.items()}
+    assert dict(map(tuple, document_status(n, src).collect())) == {k: v[2] for k, v in REMARKS.items()}
+    e = cut(events(n, T.DEFAULT_HOST))
+    s = cut(statements(n, taxa=e))
+    said = lambda path, predicate: {r.object for r in s.collect() if r.doc_path == path and r.predicate == predicate}
+    assert not s.where("doc_path in ('author_without_part', 'empty_figure')").count()
+    assert said("document", "dwc:authority") == {'"Smith & Jones, 2001"'} and said("document", "dwc:authorityName") == {'"Smith & Jones"'} and said("document", "dwc:authorityYear") == {'"2001"'} and said("year", "dwc:authority") == set()
+    assert said("bracket", "# Warning:") == {'Removing "(ex Jones)" from authority'} and said("ignored", "# Warning:") == {'ignoring variety "var."'}
+    assert said("cited_rank", "# Warning:") == {"Not adding 'trt:citesTaxonName <http://taxon-concept.example.org/id/INVALID/Bus_Smith_1900>' due to issues with rank", "Could not determine parent name"} - {"Could not determine parent name"}
+    assert len(said("cited_lost", "# Error:")) == 1 and said("label_below", "trt:definesTaxonConcept")
+    text = dict(map(tuple, documents_turtle(s, src, comments=comments(n, src, e)).collect()))
+    assert text["author_without_part"].split("\n")[9:] == ["# Error: an author has no name part"]
+    assert text["empty_figure"].split("\n")[9:] == ["# Warning: Failed to output a material citation, could not create identifier", "# Error: a figure has neither link nor DOI"]
+    assert text["no_parent"].split("\n")[9] == "# Warning: treatment taxon is missing ancestor kingdom"
+
+
+def test_json_records_are_read_as_their_xml(spark):
+    one = '{"document": {"@attributes": {"docId": "D", "docTitle": "A & b"}, "treatment": [{"nomenclature": {"taxonomicName": {"kingdom": "Animalia", "genus": "Bus", "rank": "genus"}}, "materials_examined": {"paragraph": {"materialsCitation": [{"@attributes": {"id": "1"}}, {"id": "2", "specimenCode": 7}]}}, "reference_group": {"treatmentCitation": {"taxonomicName": {"genus": "Old", "#text": "Old one"}}}}]}}'
+    other = '<document docId="D" docTitle="A &amp; b"><treatment><subSubSection type="nomenclature"><taxonomicName kingdom="Animalia" genus="Bus" rank="genus"/></subSubSection><subSubSection type="materials_examined"><paragraph><materialsCitation id="1"/><materialsCitation id="2" specimenCode="7"/></paragraph></subSubSection><subSubSection type="reference_group"><treatmentCitation><taxonomicName genus="Old">Old one</taxonomicName></treatmentCitation></subSubSection></treatment></document>'
+    df = spark.createDataFrame([("j", one), ("x", other), ("b", '{"document": {'), ("n", None), ("l", "[1]"), ("t", '{"a": {}, "b": {}}')], "doc_path string, content string")
+    got = {"j": [], "x": []}
+    for r in tree.nodes(df, form="any").orderBy("doc_path", "node_id").collect():
+        got[r.doc_path].append(tuple(r)[1:])
+    assert got["j"] == got["x"] and len(got["j"]) == 11
