@@ -45,6 +45,21 @@ def epithet_errors(get, own: Column) -> Column:
     return F.when(T.present(rank), F.array_compact(F.array(*found))).otherwise(F.array(F.lit("the rank attribute is missing")))
 
 
+def refused(get, group: Column) -> Column:
+    """May a cited taxon not be added, for want of a rank, a kingdom or a genus?"""
+    return (group == "INVALID") | ~T.present(get("kingdom")) | ((group == "species") & ~T.present(get("genus")))
+
+
+def status_of(*said: Column) -> Column:
+    """The status of a treated taxon: the first of its sources, else ABSENT."""
+    return F.coalesce(*said, F.lit("ABSENT"))
+
+
+def is_defining(status: Column) -> Column:
+    """Does a treatment with this status define its taxon?"""
+    return (F.coalesce(status, F.lit("")) != "") & ~F.coalesce(status.isin(*NOT_DEFINING), F.lit(True))
+
+
 def document_rows(nodes: DataFrame) -> DataFrame:
     """(doc_path, doc_id, attrs): the first document element of each path."""
     roots = nodes.where("tag = 'document'").groupBy("doc_path").agg(F.min_by("attrs", "node_id").alias("d"))
@@ -64,7 +79,7 @@ def treated_taxa(nodes: DataFrame) -> DataFrame:
     labels = labels.join(names, (F.col("_d") == F.col("_e")) & (F.col("_p") == F.col("_q")), "left").withColumn("_behind", F.coalesce(F.col("_s") > F.col("_f"), F.lit(False)))
     met = first.join(labels, (first["doc_path"] == labels["_d"]) & F.array_contains(labels["_a"], first["parent_id"]), "left")
     said = met.groupBy("doc_path").agg(F.min_by("_t", F.when(F.col("_behind"), F.col("_n"))).alias("behind"), F.min_by("_t", F.when(F.col("_r") == attr("rank"), F.col("_n"))).alias("ranked"))
-    return first.join(said, "doc_path").withColumn("taxon_status", F.coalesce(attr("status"), "behind", "ranked", F.lit("ABSENT"))).drop("behind", "ranked")
+    return first.join(said, "doc_path").withColumn("taxon_status", status_of(attr("status"), F.col("behind"), F.col("ranked"))).drop("behind", "ranked")
 
 
 def outermost() -> Column:
@@ -90,7 +105,7 @@ def events(nodes: DataFrame, host: str) -> DataFrame:
     own = t.select("doc_path", F.col("attrs").alias("t_attrs"))
     c = cited.select("doc_path", "ord", "attrs", F.lit(None).cast("string").alias("taxon_status")).join(docs, "doc_path").withColumn("errors", F.array().cast("array<string>")).withColumn("bad", F.lit(False))
     e = t.unionByName(c).join(own, "doc_path", "left")
-    defining = (F.col("ord") == -1) & (F.coalesce(F.col("taxon_status"), F.lit("")) != "") & ~F.coalesce(F.col("taxon_status").isin(*NOT_DEFINING), F.lit(True))
+    defining = (F.col("ord") == -1) & is_defining(F.col("taxon_status"))
     a = {k: attr(k) for k in ("authorityName", "authorityYear", "baseAuthorityName", "baseAuthorityYear", "authority", "kingdom")}
     author, date = F.try_element_at("d", F.lit("docAuthor")), F.try_element_at("d", F.lit("docDate"))
     e = e.withColumn("defining", defining).withColumn("authority", F.when(defining, T.full_authority(a, author, date, True)).otherwise(T.full_authority(a, author, date, False)))
@@ -100,7 +115,7 @@ def events(nodes: DataFrame, host: str) -> DataFrame:
     e = e.withColumn("tnuri", name_uri(attr("rank"), present_ranks(), host=host)).withColumn("punctuated", punctuated(attr("rank"), present_ranks()))
     short = F.concat(F.lit("_"), T.authority_for_uri("authority"), F.lit("_"), T.partial_uri("year"))
     e = e.withColumn("uri", F.when(F.col("authority") != "INVALID", concept_uri(short, host=host)))
-    guard = (F.col("rank_group") == "INVALID") | ~T.present(attr("kingdom")) | ((F.col("rank_group") == "species") & ~T.present(attr("genus")))
+    guard = refused(attr, F.col("rank_group"))
     kind = F.when(F.col("bad"), "X").when(F.col("tnuri").isNull(), "F").when(F.col("ord") == -1, "T").when(guard, "R").when(F.col("authority") == "INVALID", "I").when(F.col("relation") == "CITES", "C").when(F.col("relation") == "DEPRECATES", "D").otherwise("S")
     return e.withColumn("class", kind)
 
@@ -201,7 +216,7 @@ def statements(nodes: DataFrame, host: str = T.DEFAULT_HOST, material_base: str
     out.append(kept.select("doc_path", F.lit("name").alias("kind"), F.col("name_uri").alias("subject"), F.explode(props).alias("x"), ((F.col("ord") + 1) * 100 + F.col("level")).cast("long").alias("ord")).select("doc_path", "kind", "subject", "x.predicate", "x.object", "ord"))
     out.append(_vernacular(nodes, e))
     out += _figures(nodes, docs, treatment, d)
-    out += _materials(nodes, docs, treatment, host, material_base)
+    out += material_statements(nodes, docs, treatment, host, material_base)
     made = reduce(lambda a, b: a.unionByName(b), (x.select("doc_path", "kind", "subject", "predicate", "object", F.col("ord").cast("long").alias("ord")) for x in out)).where("subject is not null")
     return made.join(failures(nodes, e).select("doc_path"), "doc_path", "left_anti")
 
@@ -261,7 +276,7 @@ def _vernacular(nodes: DataFrame, e: DataFrame) -> DataFrame:
     return v.select("doc_path", F.lit("name").alias("kind"), "subject", F.explode(pairs).alias("x"), F.lit(0).alias("ord")).select("doc_path", "kind", "subject", "x.predicate", "x.object", "ord")
 
 
-def _listed(rows: DataFrame, distinct: bool) -> DataFrame:
+def listed(rows: DataFrame, distinct: bool) -> DataFrame:
     """(doc_path, object): the addresses of each document in order as one list."""
     items = F.transform(F.array_sort(F.collect_list(F.struct("ord", "subject"))), lambda x: x["subject"])
     return rows.where("subject is not null").groupBy("doc_path").agg(F.array_join(F.array_distinct(items) if distinct else items, ", ").alias("object"))
@@ -270,19 +285,20 @@ def _listed(rows: DataFrame, distinct: bool) -> DataFrame:
 def _figures(nodes: DataFrame, docs: DataFrame, treatment: Column, d: DataFrame) -> list[DataFrame]:
     f = nodes.where((F.col("tag") == "figureCitation") & (F.map_contains_key("attrs", "httpUri") | F.map_contains_key("attrs", "figureDoi"))).withColumn("subject", T.figure_uri(attr("httpUri"), attr("figureDoi"))).withColumn("ord", F.col("node_id"))
     own = _long(f, "figure", F.col("subject"), [("dc:description", F.when(attr("captionText").isNotNull(), T.string_literal(attr("captionText")))), ("fabio:hasRepresentation", T.figure_representation(attr("httpUri"))), ("a", F.lit("fabio:Figure"))], F.col("ord"))
-    listed = _listed(f, True)
+    listed = listed(f, True)
     cites = listed.join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit("cito:cites").alias("predicate"), "object", F.lit(0).alias("ord"))
     part = listed.join(d, "doc_path").select("doc_path", F.lit("publication").alias("kind"), F.col("publication").alias("subject"), F.lit("fabio:hasPart").alias("predicate"), "object", F.lit(0).alias("ord"))
     return [own, cites, part]
 
 
-def _materials(nodes: DataFrame, docs: DataFrame, treatment: Column, host: str, base: str | None) -> list[DataFrame]:
+def material_statements(nodes: DataFrame, docs: DataFrame, treatment: Column, host: str, base: str | None) -> list[DataFrame]:
+    """The statements of each cited material, and of each document's materials as one list."""
     m = nodes.where("tag = 'materialsCitation'").join(docs.select("doc_path", "doc_id"), "doc_path").withColumn("ord", F.col("node_id"))
     m = m.withColumn("subject", T.material_uri(attr("id"), attr("ID-GBIF-Occurrence"), attr("httpUri"), attr("specimenCode"), F.col("doc_id"), host, base))
     props = [(term, F.when(attr(a).isNotNull(), T.string_literal(attr(a)))) for a, term in MATERIAL_TERMS.items()]
     props.append(("trt:httpUri", F.when(T.present(attr("id")), T.uri(F.concat(F.lit(f"https://treatment.{host}/id/"), F.col("doc_id"), F.lit("#"), attr("id"))))))
     own = _long(m.where("subject is not null"), "material", F.col("subject"), [*props, ("trt:httpUri", F.when(T.present(attr("httpUri")), T.uri(attr("httpUri")))), ("a", F.lit("dwc:MaterialCitation"))], F.col("ord"))
-    basis = _listed(m, False).join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit("dwc:basisOfRecord").alias("predicate"), "object", F.lit(0).alias("ord"))
+    basis = listed(m, False).join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit("dwc:basisOfRecord").alias("predicate"), "object", F.lit(0).alias("ord"))
     return [own, basis]
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from stemma.functions import text as T
 from stemma.operators import tree
 from stemma.operators.flatten import flatten_records
-from stemma.operators.graph import LANGUAGES, TEXT_TAGS, cited_taxa, comments, diagnostics, document_status, events, statements
-from stemma.operators.hierarchy import RANKS, levels, with_parents
+from stemma.operators.graph import LANGUAGES, MATERIAL_TERMS, NOT_COPIED, TEXT_TAGS, attribute_statements, citation_sets, cited_taxa, comments, diagnostics, document_rows, document_status, events, listed, material_statements, statements
+from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, levels, with_parents
 from stemma.operators.status import apply_changes, latest, parse_status, status_lines, upsert
 from stemma.operators.turtle import documents_turtle, subject_blocks
-from stemma.plans.text_queries import TAXON
+from stemma.plans.text_queries import TAXON, json_sql, norm_sql, part_sql, present_sql, uri_sql
 from stemma.sources.tables import broadcast_checked, cut, table
 from stemma.streaming.changes import stream_changes
 
@@ -254,7 +254,25 @@ def hierarchy_recursive(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql("WITH RECURSIVE up(node, ancestor, distance) AS (SELECT child, parent, 1 FROM {e} UNION ALL SELECT up.node, e.parent, up.distance + 1 FROM up JOIN {e} e ON e.child = up.ancestor) SELECT node, ancestor, distance FROM up", e=n.unionByName(s))
 
 
-@query()
+_NAMED = [k for k in RANKS if k in TAXON]
+_VALUE = "CASE {} " + " ".join(f"WHEN '{k}' THEN {TAXON[k]}" for k in (*_NAMED, "rank", "isHybrid")) + " END"
+_MARK, _NAME_MARK = "(?i)^[^A-Za-z0-9_]*(var|subsp|f)[^A-Za-z0-9_]*$", r"(?i)^[^A-Za-z0-9_]*(var|subsp|f|\.)[^A-Za-z0-9_]*$"
+_BARE = r"replace(regexp_replace(replace({}, '-', chr(1)), '[\pZ\pS\pP]', '', 'g'), chr(1), '-')"
+_PAIRS = "[" + ", ".join(f"{{'rank': '{k}', 'name': {TAXON[k]}}}" for k in _NAMED) + "]"
+
+
+@query(f"""WITH a AS (SELECT *, list_filter({_PAIRS}, lambda x: x.name IS NOT NULL) AS r FROM taxon_names),
+ o AS (SELECT *, list_transform(r, lambda x: x.rank) AS ranks, CASE WHEN taxon_rank IS NULL OR list_contains(list_transform(r, lambda x: x.rank), taxon_rank) THEN r ELSE list_append(r, {{'rank': taxon_rank, 'name': {_VALUE.format("taxon_rank")}}}) END AS own FROM a),
+ v AS (SELECT *, list_transform(list_filter(own, lambda x: x.name <> '' AND NOT regexp_matches(trim(x.name), '{_MARK}')), lambda x: x.rank) AS valid FROM o),
+ l AS (SELECT *, list_concat([NULL::VARCHAR], list_reverse(valid[2:]), CASE WHEN len(valid) > 0 AND valid[1] <> 'kingdom' THEN valid[1:1] ELSE []::VARCHAR[] END) AS limits FROM v),
+ u AS (SELECT *, unnest(limits) AS upto, unnest(range(len(limits))) AS level FROM l),
+ b AS (SELECT *, CASE WHEN list_position(ranks, upto) > 1 THEN ranks[:list_position(ranks, upto) - 1] ELSE ranks END AS below FROM u),
+ k AS (SELECT *, CASE WHEN list_position(ranks, upto) > 1 THEN below[-1] ELSE taxon_rank END AS at_rank FROM b),
+ e AS (SELECT *, CASE WHEN at_rank = 'kingdom' THEN '' WHEN at_rank IN ({", ".join(f"'{x}'" for x in SPECIES_GROUP)}) THEN '/' || {part_sql("array_to_string(list_transform(list_filter([genus, CASE WHEN ishybrid = 'true' THEN 'x' END, CASE WHEN list_contains(below, 'species') THEN species END, CASE WHEN list_contains(below, 'subSpecies') THEN subspecies END], lambda x: coalesce(x, '') <> '' AND NOT regexp_matches(x, '" + _NAME_MARK + "')), lambda x: " + _BARE.format("x") + "), '_')")}
+   WHEN {_BARE.format(norm_sql(_VALUE.format("at_rank")))} <> '' THEN '/' || {part_sql("replace(" + _BARE.format(norm_sql(_VALUE.format("at_rank"))) + ", '.', '')")} END AS ending FROM k),
+ n AS (SELECT name_row_id, level, valid, limits, CASE WHEN ending IS NOT NULL THEN {uri_sql("('http://taxon-name.example.org/id/' || CASE WHEN " + present_sql("kingdom") + " THEN " + part_sql("kingdom") + " ELSE 'INVALID' END || ending)", "_")} END AS name_uri, CASE WHEN len(valid) > level THEN valid[len(valid) - level] END AS level_rank FROM e),
+ p AS (SELECT *, lead(name_uri) OVER (PARTITION BY name_row_id ORDER BY level) AS above FROM n)
+SELECT name_row_id, CAST(level AS INTEGER) AS level, name_uri, level_rank, CASE WHEN above <> name_uri THEN above END AS parent_uri, level = len(limits) - 1 AND coalesce(level_rank, '') <> 'kingdom' AS dead_end FROM p""")
 def name_levels(spark: SparkSession, d: str) -> DataFrame:
     """Addresses of all names and their parents by the full naming rules."""
     t = table(spark, d, "taxon_names")
@@ -264,6 +282,81 @@ def name_levels(spark: SparkSession, d: str) -> DataFrame:
     return made.select("name_row_id", "level", "name_uri", "level_rank", "parent_uri", "dead_end")
 
 
+_COPIED = {k: v for k, v in TAXON.items() if k not in NOT_COPIED}
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(f"""SELECT '<' || name_row_id || '>' AS subject, CASE WHEN regexp_matches({v}, '{_MARK}') THEN '# Warning:' ELSE 'dwc:{k}' END AS predicate,
+ CASE WHEN regexp_matches({v}, '{_MARK}') THEN 'ignoring {k} ' || {json_sql(v)} ELSE {json_sql(norm_sql(v))} END AS object FROM taxon_names WHERE {v} IS NOT NULL""" for k, v in _COPIED.items()) + ")")
+def taxon_statements(spark: SparkSession, d: str) -> DataFrame:
+    """One statement per attribute of each taxon, by the operator of the graph."""
+    attrs = F.map_filter(F.create_map(*(x for k, v in TAXON.items() for x in (F.lit(k), F.col(v)))), lambda k, v: v.isNotNull())
+    rows = table(spark, d, "taxon_names").select(F.col("docid").alias("doc_path"), F.format_string("<%d>", "name_row_id").alias("subject"), F.lit(0).alias("ord"), attrs.alias("attrs"))
+    return attribute_statements(rows, "attrs").select("subject", "predicate", "object")
+
+
+# --- operators of the graph over tables that stand for nodes ----------------------------
+
+_ATTRIBUTES = {"id": "mc_id", "httpUri": "httpuri", "specimenCode": "specimencode", "collectionCode": "collectioncode", "typeStatus": "typestatus", "latitude": "latitude", "longitude": "longitude", "elevation": "elevation", "collectingCountry": "collectingcountry", "collectingRegion": "collectingregion", "collectingMunicipality": "collectingmunicipality", "collectingCounty": "collectingcounty", "location": "locality", "locationDeviation": "locality_deviation", "collectorName": "collectorname", "collectingDate": "collectingdate", "collectingMethod": "collectingmethod", "ID-GBIF-Occurrence": "id_gbif_occurrence", "ID-GBIF-Specimen": "id_gbif_specimen"}
+
+
+def _material_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The materials as nodes of their documents: a root each, and a citation per row."""
+    m = table(spark, d, "materials").where("docid is not null")
+    attrs = F.map_filter(F.create_map(*(x for k, v in _ATTRIBUTES.items() for x in (F.lit(k), F.col(v)))), lambda k, v: v.isNotNull())
+    roots = m.select("docid").distinct().select(F.col("docid").alias("doc_path"), F.lit(-1).cast("long").alias("node_id"), F.lit("document").alias("tag"), F.create_map(F.lit("docId"), F.col("docid")).alias("attrs"))
+    return roots.unionByName(m.select(F.col("docid").alias("doc_path"), F.col("row_id").alias("node_id"), F.lit("materialsCitation").alias("tag"), attrs.alias("attrs")))
+
+
+_ADDRESS = f"""WITH m AS (SELECT *, {part_sql('docid')} AS d FROM materials WHERE docid IS NOT NULL), s AS (SELECT *, CASE WHEN {present_sql('mc_id')} THEN {uri_sql("'http://material.example.org/id/' || d || '.mc.' || mc_id")}
+ WHEN {present_sql('id_gbif_occurrence')} THEN {uri_sql("'https://www.gbif.org/occurrence/' || id_gbif_occurrence")} WHEN {present_sql('httpuri')} THEN {uri_sql('httpuri')}
+ ELSE {uri_sql("'http://treatment.example.org/id/' || d || '/' || " + part_sql('specimencode'), '_')} END AS subject FROM m WHERE {present_sql('mc_id')} OR {present_sql('httpuri')} OR {present_sql('specimencode')})"""
+
+
+@query(_ADDRESS + " SELECT DISTINCT * FROM (" + " UNION ALL ".join(f"SELECT docid AS doc_path, subject, '{term}' AS predicate, {json_sql(_ATTRIBUTES[k])} AS object FROM s WHERE {_ATTRIBUTES[k]} IS NOT NULL" for k, term in MATERIAL_TERMS.items())
+       + f" UNION ALL SELECT docid, subject, 'trt:httpUri', {uri_sql('httpuri')} FROM s WHERE {present_sql('httpuri')} UNION ALL SELECT docid, subject, 'trt:httpUri', " + uri_sql("'https://treatment.example.org/id/' || d || '#' || mc_id") + f" FROM s WHERE {present_sql('mc_id')} UNION ALL SELECT docid, subject, 'a', 'dwc:MaterialCitation' FROM s)")
+def material_properties(spark: SparkSession, d: str) -> DataFrame:
+    """What is stated of each cited material, by the operator of the graph."""
+    nodes = _material_nodes(spark, d)
+    own, _ = material_statements(nodes, document_rows(nodes), F.lit("<t>"), T.DEFAULT_HOST, None)
+    return own.select("doc_path", "subject", "predicate", "object").distinct()
+
+
+@query(_ADDRESS + " SELECT docid AS doc_path, string_agg(subject, ', ' ORDER BY row_id, subject) AS object FROM s GROUP BY docid")
+def basis_of_record(spark: SparkSession, d: str) -> DataFrame:
+    """The addresses of each document's materials as one list in order, by the operator of the graph."""
+    nodes = _material_nodes(spark, d)
+    _, basis = material_statements(nodes, document_rows(nodes), F.lit("<t>"), T.DEFAULT_HOST, None)
+    return basis.select("doc_path", "object")
+
+
+@query("SELECT CAST(doc AS VARCHAR) AS doc_path, string_agg(name, ', ' ORDER BY first) AS object FROM (SELECT user_id AS doc, '<' || event_type || '>' AS name, min(event_id) AS first FROM events GROUP BY ALL) GROUP BY doc")
+def distinct_listed(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct addresses in the order of their first mention as one list, by the operator of the graph."""
+    e = table(spark, d, "events")
+    return listed(e.select(F.col("user_id").cast("string").alias("doc_path"), F.col("event_id").alias("ord"), F.format_string("<%s>", "event_type").alias("subject")), True)
+
+
+@query("SELECT o.event_id AS node_id, min(i.event_id) AS first_id FROM events o LEFT JOIN events i ON i.user_id = o.user_id AND i.event_id >= o.event_id AND i.event_id < o.event_id + 900 AND i.event_type = 'click' WHERE o.event_type IN ('signup', 'click') GROUP BY 1")
+def first_below(spark: SparkSession, d: str) -> DataFrame:
+    """The first click from each sign-up or click on within 900 events, by the operator that finds
+    the first name below a node."""
+    e = table(spark, d, "events").select(F.col("user_id").alias("doc_path"), F.col("event_id").alias("node_id"), (F.col("event_id") + 900).alias("subtree_end"), "event_type")
+    return tree.first_below(e.where("event_type in ('signup', 'click')"), e.where("event_type = 'click'")).select("node_id", "first_id")
+
+
+@query(SQL["seen_set"])
+def cited_before(spark: SparkSession, d: str) -> DataFrame:
+    """The rule of what has been cited before, by the operator of the graph: views are names without
+    authority, clicks citations (even keys have a year), errors deprecations."""
+    e = table(spark, d, "events").where(F.col("event_type").isin("view", "click", "error"))
+    name = F.get_json_object("props", "$.k")
+    none = F.lit(None).cast("string")
+    kind = F.when(F.col("event_type") == "view", "I").when(F.col("event_type") == "click", "C").otherwise("D")
+    rows = e.select(F.col("user_id").alias("doc_path"), F.col("event_id").alias("ord"), kind.alias("class"), name.alias("tnuri"), F.when(F.col("event_type") != "view", name).alias("uri"), F.when(name.cast("int") % 2 == 0, "1900").otherwise("").alias("year"), none.alias("taxon_status"), F.lit(False).alias("defining"))
+    said = F.when(F.col("predicate") == "trt:citesTaxonName", "citesName").when(F.col("predicate") == "trt:deprecates", "deprecates").otherwise("cites")
+    return citation_sets(rows).select(F.col("doc_path").alias("doc"), F.col("object").alias("name"), said.alias("said")).distinct()
+
+
 # --- sinks --------------------------------------------------------------------------
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemma.functions import text as T
-from stemma.operators.graph import NOT_DEFINING, epithet_errors
+from stemma.operators.graph import epithet_errors, is_defining, refused, status_of
 from stemma.sources.tables import table
 
 QUERIES: dict = {}
@@ -185,6 +185,22 @@ def figure_uri(spark: SparkSession, d: str) -> DataFrame:
     return m.select("row_id", T.figure_uri(F.col("httpuri"), F.when(~T.present("httpuri"), F.col("id_gbif_specimen"))).alias("figure")).where("figure is not null")
 
 
+# links and identifiers of every form that figures have, made of each row's number
+_LINK = "CASE row_id % 6 WHEN 0 THEN 'https://doi.org/10.5281/zenodo.' || row_id WHEN 1 THEN 'https://zenodo.org/ record/' || row_id || '/files/figure 1.png' WHEN 2 THEN httpuri WHEN 3 THEN '' WHEN 4 THEN 'http://a.example/' || row_id END"
+_DOI = "CASE row_id % 4 WHEN 0 THEN 'https://doi.org/10.1/' || row_id WHEN 1 THEN '10.1/' || row_id WHEN 2 THEN '' END"
+
+
+@query(f"""SELECT row_id, CASE WHEN contains(coalesce(link, ''), '10.5281/zenodo.') THEN {uri_sql('link')}
+ WHEN contains(coalesce(link, ''), 'zenodo.') THEN {uri_sql("'http://dx.doi.org/10.5281/zenodo.' || list_extract(string_split(split_part(replace(link, ' ', ''), '/files/', 1), '/record/'), -1)")}
+ WHEN contains(coalesce(doi, ''), 'doi.org/10.') THEN {uri_sql('doi')} WHEN coalesce(doi, '') <> '' THEN {uri_sql("'http://dx.doi.org/' || doi")} WHEN coalesce(link, '') <> '' THEN {uri_sql('link')} END AS figure,
+ CASE WHEN contains(coalesce(link, ''), '10.5281/zenodo.') THEN {uri_sql("'https://zenodo.org/record/' || list_extract(string_split(link, '10.5281/zenodo.'), -1) || '/files/figure.png'")} WHEN coalesce(link, '') <> '' THEN {uri_sql("replace(link, ' ', '')")} END AS picture
+ FROM (SELECT row_id, {_LINK} AS link, {_DOI} AS doi FROM materials)""")
+def figure_addresses(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses and pictures of figures, over all forms of links and identifiers."""
+    m = table(spark, d, "materials").select("row_id", F.expr(_LINK).alias("link"), F.expr(_DOI).alias("doi"))
+    return m.select("row_id", T.figure_uri(F.col("link"), F.col("doi")).alias("figure"), T.figure_representation(F.col("link")).alias("picture"))
+
+
 @query("SELECT row_id FROM materials WHERE coalesce(mc_id, '') = '' AND coalesce(httpuri, '') = '' AND coalesce(specimencode, '') = ''")
 def material_guard(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "materials").where(~T.present("mc_id") & ~T.present("httpuri") & ~T.present("specimencode")).select("row_id")
@@ -266,8 +282,8 @@ def dynamic_attribute(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT name_row_id, coalesce(taxon_status, nullif(ishybrid, 'false'), 'ABSENT') AS status, coalesce(taxon_status, nullif(ishybrid, 'false'), 'ABSENT') NOT IN ('', 'nomen dubium', '(nomen dubium)', 'ABSENT', 'incertae sedis') AS defining FROM taxon_names")
 def coalesce_status(spark: SparkSession, d: str) -> DataFrame:
-    status = F.coalesce("taxon_status", F.nullif("ishybrid", F.lit("false")), F.lit("ABSENT"))
-    return table(spark, d, "taxon_names").select("name_row_id", status.alias("status"), (~status.isin("", *NOT_DEFINING)).alias("defining"))
+    status = status_of(F.col("taxon_status"), F.nullif("ishybrid", F.lit("false")))
+    return table(spark, d, "taxon_names").select("name_row_id", status.alias("status"), is_defining(status).alias("defining"))
 
 
 def _valid_sql(c: str) -> str:
@@ -294,9 +310,7 @@ def epithet_check(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT name_row_id, {GROUP_SQL.format(p='')} = 'INVALID' OR coalesce(kingdom, '') = '' OR (coalesce(species, '') <> '' AND coalesce(genus, '') = '') AS refused FROM taxon_names")
 def citation_guard(spark: SparkSession, d: str) -> DataFrame:
-    group = T.rank_group(taxon())
-    refused = (group == "INVALID") | ~T.present("kingdom") | ((group == "species") & ~T.present("genus"))
-    return table(spark, d, "taxon_names").select("name_row_id", refused.alias("refused"))
+    return table(spark, d, "taxon_names").select("name_row_id", refused(taxon(), T.rank_group(taxon())).alias("refused"))
 
 
 @query("SELECT name_row_id, CASE WHEN coalesce(authorityname, '') = '' THEN 'INVALID' WHEN authorityyear IS NULL THEN authorityname ELSE authorityname || ', ' || regexp_extract(authorityyear, '[0-9]{4}') END AS authority FROM taxon_names WHERE regexp_matches(coalesce(authorityname, ''), '^[A-Z]?[a-z]*$') AND (authorityyear IS NULL OR regexp_matches(authorityyear, '^[0-9]{4}[a-z]?$'))")
