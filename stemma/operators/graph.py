@@ -285,9 +285,9 @@ def listed(rows: DataFrame, distinct: bool) -> DataFrame:
 def _figures(nodes: DataFrame, docs: DataFrame, treatment: Column, d: DataFrame) -> list[DataFrame]:
     f = nodes.where((F.col("tag") == "figureCitation") & (F.map_contains_key("attrs", "httpUri") | F.map_contains_key("attrs", "figureDoi"))).withColumn("subject", T.figure_uri(attr("httpUri"), attr("figureDoi"))).withColumn("ord", F.col("node_id"))
     own = _long(f, "figure", F.col("subject"), [("dc:description", F.when(attr("captionText").isNotNull(), T.string_literal(attr("captionText")))), ("fabio:hasRepresentation", T.figure_representation(attr("httpUri"))), ("a", F.lit("fabio:Figure"))], F.col("ord"))
-    listed = listed(f, True)
-    cites = listed.join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit("cito:cites").alias("predicate"), "object", F.lit(0).alias("ord"))
-    part = listed.join(d, "doc_path").select("doc_path", F.lit("publication").alias("kind"), F.col("publication").alias("subject"), F.lit("fabio:hasPart").alias("predicate"), "object", F.lit(0).alias("ord"))
+    every = listed(f, True)
+    cites = every.join(docs, "doc_path").select("doc_path", F.lit("treatment").alias("kind"), treatment.alias("subject"), F.lit("cito:cites").alias("predicate"), "object", F.lit(0).alias("ord"))
+    part = every.join(d, "doc_path").select("doc_path", F.lit("publication").alias("kind"), F.col("publication").alias("subject"), F.lit("fabio:hasPart").alias("predicate"), "object", F.lit(0).alias("ord"))
     return [own, cites, part]
 
 

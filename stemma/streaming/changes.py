@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stemma.operators.status import apply_changes
+from stemma.sources.tables import shared_dir
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder; local only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "stemma-checkpoints")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder below the cluster's shared folder."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
 
 
 def upsert_batch(state: str):
