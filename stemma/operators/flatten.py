@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stemma.sources.tables import cut
+
 # --- fixed values: names of the record format --------------------------------------
 ROOT, TREATMENT, TAXON, MATERIAL, SECTION = "document", "treatment", "taxonomicName", "materialsCitation", "subSubSection"
 OWN_NAME_SECTION = "nomenclature"
@@ -212,3 +214,25 @@ def flatten_records(df: DataFrame, which: str, key: str = "raw_id", form: str =
 
     src = df.select(F.col(key).cast("long"), F.col(form).cast("string"), F.col(payload).cast("string")).where(F.length(F.trim(payload)) > 0)
     return src.mapInArrow(work, SCHEMAS[which])
+
+
+#: All columns of the flat tables, and the table that a row is of.
+UNION = "part string, key long, docid string, treatment_pos long, parent_pos long, taxon_pos long, taxon_rank string, mc_pos long, specimencode string"
+
+
+def flatten_all(df: DataFrame, key: str = "raw_id", form: str = "payload_form", payload: str = "payload") -> dict[str, DataFrame]:
+    """All flat tables by name, for one reading of the payloads: they leave it as one table with
+    a column for the part, which is written to the shared folder; see ``flatten_records``."""
+    fields = [f.split() for f in UNION.split(", ")]
+    types = {"string": pa.string(), "long": pa.int64()}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, made in flat_tables(b.column(0), b.column(2).to_pylist(), b.column(1).to_pylist()).items():
+                if n := made.num_rows:
+                    has = {"part": pa.array([part] * n), **{c: made.column(c) for c in made.schema.names}}
+                    yield pa.RecordBatch.from_arrays([has[c].cast(types[t]) if c in has else pa.nulls(n, types[t]) for c, t in fields], [c for c, _ in fields])
+
+    src = df.select(F.col(key).cast("long"), F.col(form).cast("string"), F.col(payload).cast("string")).where(F.length(F.trim(payload)) > 0)
+    rows = cut(src.mapInArrow(work, UNION))
+    return {part: rows.where(F.col("part") == part).select(*(c.split()[0] for c in schema.split(", "))) for part, schema in SCHEMAS.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stemma.functions import text as T
 from stemma.operators import tree
-from stemma.operators.flatten import flatten_records
+from stemma.operators.flatten import flatten_all, flatten_records
 from stemma.operators.graph import LANGUAGES, MATERIAL_TERMS, NOT_COPIED, TEXT_TAGS, attribute_statements, citation_sets, cited_taxa, comments, diagnostics, document_rows, document_status, events, listed, material_statements, statements
 from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, levels, with_parents
 from stemma.operators.status import apply_changes, latest, parse_status, status_lines, upsert
@@ -490,3 +490,17 @@ def record_treatments(spark: SparkSession, d: str) -> DataFrame:
 def record_taxa(spark: SparkSession, d: str) -> DataFrame:
     return flatten_records(table(spark, d, "raw_records"), "taxa")
 
+
+
+@query()
+def record_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The related tables of one reading: of each document its treatments, names and materials,
+    and those of them whose parent or name is no row of its table (none)."""
+    t = flatten_all(table(spark, d, "raw_records"))
+    count = lambda part: t[part].groupBy("key").agg(F.count(F.lit(1)).alias(part))
+    names = t["taxa"].select("key", "taxon_pos")
+    lost = t["materials"].where("taxon_pos > 0").join(names, ["key", "taxon_pos"], "left_anti").groupBy("key").agg(F.count(F.lit(1)).alias("lost"))
+    out = t["documents"]
+    for part in (count("treatments"), count("taxa"), count("materials"), lost):
+        out = out.join(part, "key", "left")
+    return out.select(F.col("key").alias("raw_id"), "docid", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("treatments", "taxa", "materials", "lost")))

@@ -124,12 +124,6 @@ def year_extract(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "taxon_names").select("name_row_id", T.first_year("authorityyear").alias("year"))
 
 
-@query("SELECT row_id, regexp_replace(collectorname, '([^,@&]+), +[^,@&]+', '\\1', 'g') AS names FROM materials WHERE NOT regexp_matches(collectorname, '[A-Za-z0-9_][A-Z]|[^ -~]|  |^ | $|&|@')")
-def shorten_authors(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "materials").where(~F.col("collectorname").rlike("[A-Za-z0-9_][A-Z]|[^ -~]|  |^ | $|&|@"))
-    return rows.select("row_id", T.shorten_authors("collectorname").alias("names"))
-
-
 def title_sql(c: str) -> str:
     marked = f"regexp_replace({c}, '[A-Za-z0-9_][A-Z]+\\b[^.]|[A-Za-z0-9_][A-Z]+$', chr(1) || '\\0' || chr(2), 'g')"
     return f"array_to_string(list_transform(string_split({marked}, chr(1)), lambda p: CASE WHEN contains(p, chr(2)) THEN left(p, 1) || lower(split_part(substr(p, 2), chr(2), 1)) || split_part(p, chr(2), 2) ELSE p END), '')"
@@ -138,20 +132,14 @@ def title_sql(c: str) -> str:
 @query(f"""WITH n AS (SELECT row_id, {norm_sql('collectorname')} AS a FROM materials),
  r AS (SELECT row_id, replace(replace(regexp_replace(a, '([^,@&]+), +[^,@&]+', '\\1@', 'g'), '@&', ' &'), '@', '') AS a FROM n)
 SELECT row_id, CASE WHEN length(a) >= 2 THEN {title_sql('a')} ELSE a END AS names FROM r""")
-def shorten_authors_all(spark: SparkSession, d: str) -> DataFrame:
-    """The whole rule on every row; shorten_authors has the rows that a single replacement settles."""
+def shorten_authors(spark: SparkSession, d: str) -> DataFrame:
+    """Surnames of all lists of collectors."""
     return table(spark, d, "materials").select("row_id", T.shorten_authors("collectorname").alias("names"))
 
 
-@query("SELECT name_id, upper(left(w, 1)) || lower(w[2:]) AS titled FROM (SELECT name_id, upper(regexp_extract(collectorname, '[A-Za-z]{3,}')) AS w FROM collector_names) WHERE w <> ''")
-def title_case(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "collector_names").select("name_id", F.upper(F.regexp_extract("collectorname", "[A-Za-z]{3,}", 0)).alias("w")).where("w <> ''")
-    return rows.select("name_id", T.title_case_shouted(F.col("w")).alias("titled"))
-
-
 @query(f"SELECT name_id, CASE WHEN length(collectorname) >= 2 AND NOT regexp_matches(collectorname, '[a-z]') THEN {title_sql('collectorname')} ELSE collectorname END AS titled FROM collector_names")
-def title_case_all(spark: SparkSession, d: str) -> DataFrame:
-    """Whole names, shouted or not; title_case has their first words in plain letters."""
+def title_case(spark: SparkSession, d: str) -> DataFrame:
+    """Whole names, shouted or not."""
     return table(spark, d, "collector_names").select("name_id", T.title_case_shouted(F.col("collectorname")).alias("titled"))
 
 
@@ -313,18 +301,27 @@ def citation_guard(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "taxon_names").select("name_row_id", refused(taxon(), T.rank_group(taxon())).alias("refused"))
 
 
-@query("SELECT name_row_id, CASE WHEN coalesce(authorityname, '') = '' THEN 'INVALID' WHEN authorityyear IS NULL THEN authorityname ELSE authorityname || ', ' || regexp_extract(authorityyear, '[0-9]{4}') END AS authority FROM taxon_names WHERE regexp_matches(coalesce(authorityname, ''), '^[A-Z]?[a-z]*$') AND (authorityyear IS NULL OR regexp_matches(authorityyear, '^[0-9]{4}[a-z]?$'))")
+_STRIPPED = r"regexp_replace(authorityname, '\bin\b[^0-9]*', '')"
+_INSIDE = r"coalesce(nullif(regexp_extract(a, '\(.*\)'), ''), nullif(regexp_extract(a, '\(.*$'), ''), nullif(regexp_extract(a, '^.*\)'), ''), '')"
+_NAMED = f"""WITH s AS (SELECT name_row_id, authorityname, authorityyear, CASE WHEN {_STRIPPED} = 'L.' THEN 'Linnaeus' ELSE {_STRIPPED} END AS a FROM taxon_names WHERE {present_sql('authorityname')}),
+ t AS (SELECT name_row_id, authorityyear, CASE WHEN length(a) >= 2 AND NOT regexp_matches(a, '[a-z]') THEN {title_sql('a')} ELSE a END AS a FROM s), i AS (SELECT *, {_INSIDE} AS inside FROM t),
+ r AS (SELECT name_row_id, authorityyear, CASE WHEN regexp_matches(a, '[()]') AND regexp_matches(inside, '[a-zA-Z]') AND inside <> a THEN trim(left(a, instr(a, inside) - 1) || substr(a, instr(a, inside) + length(inside))) ELSE a END AS a FROM i)
+ SELECT name_row_id, CASE WHEN authorityyear IS NULL THEN a ELSE a || ', ' || authorityyear END AS full FROM r"""
+
+
+@query("SELECT n.name_row_id, CASE WHEN coalesce(f.authority, '') = '' THEN 'INVALID' ELSE " + norm_sql("f.authority") + " END AS authority FROM taxon_names n LEFT JOIN (" + AUTHORITY_SQL.format(key="name_row_id", c='"full"', src=f"({_NAMED})").strip() + ") f USING (name_row_id)")
 def full_authority(spark: SparkSession, d: str) -> DataFrame:
-    """Authorities of cited taxa in plain letters; full_authority_all has every form."""
-    t = table(spark, d, "taxon_names").where("coalesce(authorityname, '') rlike '^[A-Z]?[a-z]*$' and (authorityyear is null or authorityyear rlike '^[0-9]{4}[a-z]?$')")
+    """Authorities of all taxa, as cited ones."""
     attrs = {k: F.col(TAXON[k]) for k in ("authorityName", "authorityYear", "kingdom")}
     none = F.lit(None).cast("string")
-    return t.select("name_row_id", T.full_authority(attrs, none, none, False).alias("authority"))
+    return table(spark, d, "taxon_names").select("name_row_id", T.full_authority(attrs, none, none, False).alias("authority"))
 
 
 @query()
-def full_authority_all(spark: SparkSession, d: str) -> DataFrame:
-    """Authorities of all taxa, as cited ones; tested against a model."""
-    attrs = {k: F.col(TAXON[k]) for k in ("authorityName", "authorityYear", "kingdom")}
-    none = F.lit(None).cast("string")
-    return table(spark, d, "taxon_names").select("name_row_id", T.full_authority(attrs, none, none, False).alias("authority"))
+def based_authority(spark: SparkSession, d: str) -> DataFrame:
+    """Authorities of all taxa as treated ones, with the family's name as base authority of some and
+    the document's author and date; tested against a model."""
+    t = table(spark, d, "taxon_names")
+    docs = table(spark, d, "treatments").groupBy("docid").agg(F.max("docauthor").alias("author"), F.max("docdate").alias("date"))
+    attrs = {k: F.col(TAXON[k]) for k in ("authorityName", "authorityYear", "kingdom")} | {"baseAuthorityName": F.when(F.col("family").isNotNull(), F.col("genus")), "baseAuthorityYear": F.when(F.col("order_name").isNotNull(), F.col("authorityyear"))}
+    return t.join(docs, "docid", "left").select("name_row_id", T.full_authority(attrs, F.col("author"), F.col("date"), True).alias("authority"))

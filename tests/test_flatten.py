@@ -35,3 +35,15 @@ def test_what_is_no_document_has_no_rows(spark):
 def test_broken_payloads_leave_their_neighbours_alone(spark):
     rows = [(1, "xml", XML[:-5], None), (2, "json", json.dumps(JSON), None), (3, "xml", XML, None), (3, "xml", XML, None)]
     assert [r[0] for r in found(spark, rows)] == [2, 2] + [3] * 10
+
+
+def test_one_reading_gives_all_tables(spark):
+    from stemma.operators.flatten import SCHEMAS, flatten_all
+    from stemma.sources.tables import table
+
+    df = table(spark, "/root/testdata/sf0.001", "raw_records")
+    rows = lambda x: sorted(map(repr, x.collect()))
+    every = flatten_all(df)
+    for part in SCHEMAS:
+        assert rows(every[part]) == rows(flatten_records(df, part)) and every[part].columns == flatten_records(df, part).columns
+    assert every["materials"].count() > 0 and flatten_all(df.where("false"))["taxa"].count() == 0

@@ -40,7 +40,7 @@ def test_shorten_authors(spark):
 @tables
 def test_shorten_authors_of_all_rows(spark):
     want = {k: shortened(a) for k, a in rows("materials", "row_id", "collectorname")}
-    got = text_queries.QUERIES["shorten_authors_all"](spark, D).collect()
+    got = text_queries.QUERIES["shorten_authors"](spark, D).collect()
     assert len(got) == len(want) and dict(map(tuple, got)) == want and any("&" in x for x in want.values())
 
 
@@ -59,7 +59,7 @@ def test_title_case(spark):
 @tables
 def test_title_case_of_whole_names(spark):
     want = {k: shouted(a) for k, a in rows("collector_names", "name_id", "collectorname")}
-    got = text_queries.QUERIES["title_case_all"](spark, D).collect()
+    got = text_queries.QUERIES["title_case"](spark, D).collect()
     assert len(got) == len(want) and dict(map(tuple, got)) == want
 
 
@@ -135,5 +135,5 @@ def test_full_authority(spark, defining):
 @tables
 def test_full_authority_of_all_rows(spark):
     want = {k: authority({"authorityName": n, "authorityYear": y, "kingdom": g}) for k, n, y, g in rows("taxon_names", "name_row_id", "authorityname", "authorityyear", "kingdom")}
-    got = text_queries.QUERIES["full_authority_all"](spark, D).collect()
+    got = text_queries.QUERIES["full_authority"](spark, D).collect()
     assert len(got) == len(want) and dict(map(tuple, got)) == want
