@@ -10,11 +10,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemma.sources.tables import broadcast_checked
+from stemma.sources.tables import broadcast_checked, cut
 
 EARTH_M = 6_371_000.0
-#: Cell sizes in degrees of the coverage, coarse to fine. A boundary cell is split until the last.
-LEVELS = (8.0, 2.0, 0.5)
+#: Degrees of longitude and latitude by which cells reach over their borders, so that edges along
+#: them are within; uneven, so that no edge through round numbers meets a corner.
+EPS, EPS_LAT = 1e-9, 0.37e-9
+#: Cell sizes in degrees of the coverage, coarse to fine. A cell that a border meets is split down to
+#: BORDER_LEVEL, and further while more than MOST_EDGES edges meet it, to the last level.
+LEVELS = (8.0, 2.0, 0.5, 0.125, 0.03125, 0.0078125)
+BORDER_LEVEL, MOST_EDGES = 2, 24
 #: Rows of a near-join cell beyond which it is salted.
 HOT_ROWS = 2_000
 
@@ -60,65 +65,77 @@ def _touches(edge: tuple, x0: float, y0: float, x1: float, y1: float) -> bool:
     return lo <= hi
 
 
-def cover(wkt: str | None, levels: tuple[float, ...] = LEVELS) -> Iterator[tuple[int, int, int, bool, list]]:
-    """(level, ix, iy, interior, edges) of the cells that cover a region.
+def cover(wkt: str | None, levels: tuple[float, ...] = LEVELS, border_level: int = BORDER_LEVEL, most_edges: int = MOST_EDGES) -> Iterator[tuple[int, int, int, bool, bool, list]]:
+    """(level, ix, iy, interior, corner, edges) of the cells that cover a region.
 
     A cell that no edge meets is wholly in or out: in ones are accepted as interior at the
-    coarsest level possible. A cell that an edge meets is split; at the last level it is a
-    boundary cell and carries the edges that a ray to the right from any of its points
-    can cross, which is all the exact test needs.
+    coarsest level possible. A cell that an edge meets is split, as far as its edges are many;
+    a boundary cell carries the edges that meet it, and whether its corner (the greatest
+    longitude, the least latitude) is inside: a way from a point to that corner within the cell
+    crosses no other edge, which is all the exact test needs.
     """
     edges = [(*a, *b) for ring in rings(wkt) for a, b in zip(ring, ring[1:]) if a != b]
     if not edges:
         return
     xs, ys = [e[0] for e in edges], [e[1] for e in edges]
-    size, eps = levels[0], 1e-9
+    size = levels[0]
     stack = [(0, ix, iy, edges) for ix in range(math.floor(min(xs) / size), math.floor(max(xs) / size) + 1) for iy in range(math.floor(min(ys) / size), math.floor(max(ys) / size) + 1)]
     while stack:
         level, ix, iy, near = stack.pop()
         size = levels[level]
-        x0, y0, x1, y1 = ix * size - eps, iy * size - eps, (ix + 1) * size + eps, (iy + 1) * size + eps
+        x0, y0, x1, y1 = ix * size - EPS, iy * size - EPS_LAT, (ix + 1) * size + EPS, (iy + 1) * size + EPS_LAT
         # edges left of the cell or above or below it can't cross a ray to the right
         ray = [e for e in near if max(e[0], e[2]) >= x0 and max(e[1], e[3]) >= y0 and min(e[1], e[3]) <= y1]
-        if not any(_touches(e, x0, y0, x1, y1) for e in ray):
+        own = [e for e in ray if _touches(e, x0, y0, x1, y1)]
+        if not own:
             if _inside((x0 + x1) / 2, (y0 + y1) / 2, ray):
-                yield level, ix, iy, True, []
-        elif level + 1 == len(levels):
-            yield level, ix, iy, False, ray
+                yield level, ix, iy, True, True, []
+        elif level + 1 == len(levels) or level >= border_level and len(own) <= most_edges:
+            yield level, ix, iy, False, _inside(x1, y0, ray), own
         else:
             k = round(size / levels[level + 1])
             stack += [(level + 1, ix * k + a, iy * k + b, ray) for a in range(k) for b in range(k)]
 
 
 def coverage(areas: DataFrame, key: str, outline: str, levels: tuple[float, ...] = LEVELS) -> DataFrame:
-    """(area_key, level, ix, iy, interior, edges): the cells of every region."""
+    """(area_key, level, ix, iy, interior, corner, edges): the cells of every region."""
 
     def work(batches):
         for b in batches:
-            out = [(k, *c[:4], [list(e) for e in c[4]]) for k, wkt in zip(b["k"], b["w"]) for c in cover(wkt, levels)]
-            yield pd.DataFrame(out, columns=["area_key", "level", "ix", "iy", "interior", "edges"])
+            out = [(k, *c[:5], [list(e) for e in c[5]]) for k, wkt in zip(b["k"], b["w"]) for c in cover(wkt, levels)]
+            yield pd.DataFrame(out, columns=["area_key", "level", "ix", "iy", "interior", "corner", "edges"])
 
     src = areas.select(F.col(key).alias("k"), F.col(outline).alias("w")).where("k is not null and w is not null").dropDuplicates()
-    return src.mapInPandas(work, "area_key long, level int, ix long, iy long, interior boolean, edges array<array<double>>")
+    return src.mapInPandas(work, "area_key long, level int, ix long, iy long, interior boolean, corner boolean, edges array<array<double>>")
 
 
 def points_in_regions(points: DataFrame, areas: DataFrame, key: str = "area_id", outline: str = "outline", levels: tuple[float, ...] = LEVELS) -> DataFrame:
     """(point_id, area_id): each point (point_id, lon, lat) with each region that holds it.
 
     Regions may overlap and have holes; a point in a hole is outside. Null coordinates or
-    outlines give no row. The coverage's size depends on the regions' outlines alone and
-    is counted before it is broadcast; beyond the bound the equi-join on cells shuffles.
+    outlines give no row. The coverage's size depends on the regions' outlines alone, each of its rows
+    holds few edges, and its bytes are measured before it is broadcast; beyond the bound the equi-join on
+    cells shuffles.
     """
-    cells = broadcast_checked(coverage(areas, key, outline, levels))
-    spots = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), F.floor(F.col("lon") / s).alias("ix"), F.floor(F.col("lat") / s).alias("iy")) for i, s in enumerate(levels))))
-    at = points.where("lon is not null and lat is not null").select("point_id", "lon", "lat", spots.alias("c")).select("point_id", "lon", "lat", "c.*")
+    cells = cut(coverage(areas, key, outline, levels))
+    used = sorted(r.level for r in cells.select("level").distinct().collect())  # at most as many as there are levels
+    cells = broadcast_checked(cells)
+    spot = lambda i: F.struct(F.lit(i).alias("level"), F.floor(F.col("lon") / levels[i]).alias("ix"), F.floor(F.col("lat") / levels[i]).alias("iy"))
+    at = points.where("lon is not null and lat is not null").select("point_id", "lon", "lat", F.explode(F.array(*map(spot, used or [0]))).alias("c")).select("point_id", "lon", "lat", "c.*")
     met = at.join(cells, ["level", "ix", "iy"])
+    size = F.element_at(F.array(*map(F.lit, levels)), F.col("level") + 1)
+    right, low = (F.col("ix") + 1) * size + EPS, F.col("iy") * size - EPS_LAT
+    # where an edge meets a line of latitude or longitude, null if it doesn't
+    meets = lambda a1, b1, a2, b2, at: F.when((b1 > at) != (b2 > at), (a2 - a1) * (at - b1) / (b2 - b1) + a1)
 
-    def crossed(e: Column) -> Column:
+    def crossings(e: Column) -> Column:
+        """How often an edge is crossed on the way right to the cell's border and down to its corner."""
         x1, y1, x2, y2 = (e[i] for i in range(4))
-        return ((y1 > F.col("lat")) != (y2 > F.col("lat"))) & (F.col("lon") < F.when(y1 != y2, (x2 - x1) * (F.col("lat") - y1) / F.when(y1 != y2, y2 - y1)).otherwise(F.lit(0.0)) + x1)
+        x, y = meets(x1, y1, x2, y2, F.col("lat")), meets(y1, x1, y2, x2, right)
+        across, along = (F.col("lon") < x) & (x <= right), (low < y) & (y <= F.col("lat"))
+        return F.coalesce(across, F.lit(False)).cast("int") + F.coalesce(along, F.lit(False)).cast("int")
 
-    exact = F.size(F.filter("edges", crossed)) % 2 == 1
+    exact = (F.aggregate("edges", F.col("corner").cast("int"), lambda n, e: n + crossings(e)) % 2) == 1
     return met.where(F.when(F.col("interior"), True).otherwise(exact)).select("point_id", F.col("area_key").alias(key))
 
 

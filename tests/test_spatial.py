@@ -52,6 +52,23 @@ def test_regions_with_holes_against_brute_force(spark):
     assert any(c[3] for c in cover(areas[1][1])) and any(not c[3] for c in cover(areas[1][1]))
 
 
+def test_detailed_coasts_have_small_cells(spark):
+    rng = random.Random(6)
+    ring = [(7.3 + (1.0 + 0.2 * math.sin(40 * a) + rng.uniform(0, 0.02)) * math.cos(a), 2.1 + (0.8 + 0.1 * math.cos(25 * a)) * math.sin(a)) for a in (2 * math.pi * k / 4000 for k in range(4000))]
+    box = [(6.0, 1.0), (8.0, 1.0), (8.0, 3.0), (6.0, 3.0)]  # along the borders of cells
+    text = lambda r: "(" + ", ".join(f"{x!r} {y!r}" for x, y in [*r, r[0]]) + ")"
+    areas = [(1, f"POLYGON ({text(ring)})"), (2, f"POLYGON ({text(box)}, {text([(7 + (x - 7) / 9, 2 + (y - 2) / 9) for x, y in box])})")]
+    cells = [c for _, w in areas for c in cover(w)]
+    border = [len(c[5]) for c in cells if not c[3]]
+    assert max(border) <= 24 and max(c[0] for c in cells) > 2 and sum(border) < 6 * 4000
+    pts = [(rng.uniform(5.9, 8.9), rng.uniform(0.9, 3.3)) for _ in range(4000)]
+    hit = lambda x, y, w: sum((y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 for r in rings(w) for (x1, y1), (x2, y2) in zip(r, r[1:])) % 2
+    want = {(i, a) for i, (x, y) in enumerate(pts) for a, w in areas if hit(x, y, w)}
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "point_id long, lon double, lat double")
+    got = [tuple(r) for r in points_in_regions(df, spark.createDataFrame(areas, "area_id long, outline string")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_empty_inputs(spark):
     none = spark.createDataFrame([], "point_id long, lon double, lat double")
     assert near_pairs(none, 500.0).count() == 0
