@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from stemma.functions import text as T
 from stemma.operators import tree
 from stemma.operators.flatten import flatten_all, flatten_records
-from stemma.operators.graph import LANGUAGES, MATERIAL_TERMS, NOT_COPIED, TEXT_TAGS, attribute_statements, citation_sets, cited_taxa, comments, diagnostics, document_rows, document_status, events, listed, material_statements, statements
-from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, levels, with_parents
+from stemma.operators.graph import LANGUAGES, MATERIAL_TERMS, NOT_COPIED, TEXT_TAGS, attribute_statements, citation_sets, cited_taxa, comments, diagnostics, document_rows, document_status, events, listed, material_statements, statements, treated_taxa
+from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, concept_uri, levels, with_parents
 from stemma.operators.status import apply_changes, latest, parse_status, status_lines, upsert
 from stemma.operators.turtle import documents_turtle, subject_blocks
+from stemma.plans import text_queries
 from stemma.plans.text_queries import TAXON, json_sql, norm_sql, part_sql, present_sql, uri_sql
 from stemma.sources.tables import broadcast_checked, cut, table
 from stemma.streaming.changes import stream_changes
@@ -261,7 +262,7 @@ _BARE = r"replace(regexp_replace(replace({}, '-', chr(1)), '[\pZ\pS\pP]', '', 'g
 _PAIRS = "[" + ", ".join(f"{{'rank': '{k}', 'name': {TAXON[k]}}}" for k in _NAMED) + "]"
 
 
-@query(f"""WITH a AS (SELECT *, list_filter({_PAIRS}, lambda x: x.name IS NOT NULL) AS r FROM taxon_names),
+_ENDINGS = f"""WITH a AS (SELECT *, list_filter({_PAIRS}, lambda x: x.name IS NOT NULL) AS r FROM taxon_names),
  o AS (SELECT *, list_transform(r, lambda x: x.rank) AS ranks, CASE WHEN taxon_rank IS NULL OR list_contains(list_transform(r, lambda x: x.rank), taxon_rank) THEN r ELSE list_append(r, {{'rank': taxon_rank, 'name': {_VALUE.format("taxon_rank")}}}) END AS own FROM a),
  v AS (SELECT *, list_transform(list_filter(own, lambda x: x.name <> '' AND NOT regexp_matches(trim(x.name), '{_MARK}')), lambda x: x.rank) AS valid FROM o),
  l AS (SELECT *, list_concat([NULL::VARCHAR], list_reverse(valid[2:]), CASE WHEN len(valid) > 0 AND valid[1] <> 'kingdom' THEN valid[1:1] ELSE []::VARCHAR[] END) AS limits FROM v),
@@ -269,7 +270,10 @@ _PAIRS = "[" + ", ".join(f"{{'rank': '{k}', 'name': {TAXON[k]}}}" for k in _NAME
  b AS (SELECT *, CASE WHEN list_position(ranks, upto) > 1 THEN ranks[:list_position(ranks, upto) - 1] ELSE ranks END AS below FROM u),
  k AS (SELECT *, CASE WHEN list_position(ranks, upto) > 1 THEN below[-1] ELSE taxon_rank END AS at_rank FROM b),
  e AS (SELECT *, CASE WHEN at_rank = 'kingdom' THEN '' WHEN at_rank IN ({", ".join(f"'{x}'" for x in SPECIES_GROUP)}) THEN '/' || {part_sql("array_to_string(list_transform(list_filter([genus, CASE WHEN ishybrid = 'true' THEN 'x' END, CASE WHEN list_contains(below, 'species') THEN species END, CASE WHEN list_contains(below, 'subSpecies') THEN subspecies END], lambda x: coalesce(x, '') <> '' AND NOT regexp_matches(x, '" + _NAME_MARK + "')), lambda x: " + _BARE.format("x") + "), '_')")}
-   WHEN {_BARE.format(norm_sql(_VALUE.format("at_rank")))} <> '' THEN '/' || {part_sql("replace(" + _BARE.format(norm_sql(_VALUE.format("at_rank"))) + ", '.', '')")} END AS ending FROM k),
+   WHEN {_BARE.format(norm_sql(_VALUE.format("at_rank")))} <> '' THEN '/' || {part_sql("replace(" + _BARE.format(norm_sql(_VALUE.format("at_rank"))) + ", '.', '')")} END AS ending FROM k)"""
+
+
+@query(_ENDINGS + f""",
  n AS (SELECT name_row_id, level, valid, limits, CASE WHEN ending IS NOT NULL THEN {uri_sql("('http://taxon-name.example.org/id/' || CASE WHEN " + present_sql("kingdom") + " THEN " + part_sql("kingdom") + " ELSE 'INVALID' END || ending)", "_")} END AS name_uri, CASE WHEN len(valid) > level THEN valid[len(valid) - level] END AS level_rank FROM e),
  p AS (SELECT *, lead(name_uri) OVER (PARTITION BY name_row_id ORDER BY level) AS above FROM n)
 SELECT name_row_id, CAST(level AS INTEGER) AS level, name_uri, level_rank, CASE WHEN above <> name_uri THEN above END AS parent_uri, level = len(limits) - 1 AND coalesce(level_rank, '') <> 'kingdom' AS dead_end FROM p""")
@@ -357,6 +361,59 @@ def cited_before(spark: SparkSession, d: str) -> DataFrame:
     return citation_sets(rows).select(F.col("doc_path").alias("doc"), F.col("object").alias("name"), said.alias("said")).distinct()
 
 
+def _taxon_nodes(spark: SparkSession, d: str) -> DataFrame:
+    """The names of each document as its nodes: treated ones below a nomenclature, cited ones each in a
+    citation of a reference group. A row of number n has its citation at 2n and its name at 2n + 1."""
+    t = table(spark, d, "taxon_names").where("docid is not null")
+    attrs = F.map_filter(F.create_map(*(x for k, v in TAXON.items() for x in (F.lit(k), F.col(v)))), lambda k, v: v.isNotNull())
+    above = lambda *tags: F.array(*(F.struct(F.lit(-k - 1).cast("long").alias("node_id"), F.lit(tag).alias("tag"), F.lit(kind).cast("string").alias("type")) for k, (tag, kind) in enumerate(tags)))
+    inside = (("document", None), ("treatment", None))
+    node = lambda rows, number, end, tag, ancestors, a: rows.select(F.col("docid").alias("doc_path"), number.cast("long").alias("node_id"), F.lit(-9).cast("long").alias("parent_id"), number.cast("long").alias("sib_ord"), F.lit(tag).alias("tag"), ancestors.alias("ancestors"), a.alias("attrs"), F.lit("").alias("text"), end.cast("long").alias("subtree_end"))
+    n = F.col("name_row_id")
+    cited, treated = t.where("taxon_role = 'citation'"), t.where("taxon_role = 'treatment'")
+    group = (*inside, ("subSubSection", "reference_group"))
+    parts = [
+        node(t.select("docid").distinct(), F.lit(-1), F.lit(1 << 40), "document", above(), F.create_map(F.lit("docId"), F.col("docid"))),
+        node(treated, 2 * n + 1, 2 * n + 2, "taxonomicName", above(*inside, ("subSubSection", "nomenclature")), attrs),
+        node(cited, 2 * n, 2 * n + 2, "treatmentCitation", above(*group), F.map_filter(attrs, lambda k, v: F.lit(False))),
+        node(cited, 2 * n + 1, 2 * n + 2, "taxonomicName", above(*group, ("treatmentCitation", None)), attrs),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+_FIRST = "SELECT * FROM taxon_names WHERE taxon_role = 'treatment' AND docid IS NOT NULL QUALIFY row_number() OVER (PARTITION BY docid ORDER BY name_row_id) = 1"
+
+
+@query(f"SELECT docid AS doc_path, 2 * name_row_id + 1 AS node_id, coalesce(taxon_status, 'ABSENT') AS status FROM ({_FIRST})")
+def treated_names(spark: SparkSession, d: str) -> DataFrame:
+    """The treated name of each document and its status, by the operator of the graph."""
+    return treated_taxa(_taxon_nodes(spark, d)).select("doc_path", "node_id", F.col("taxon_status").alias("status"))
+
+
+@query(f"""WITH u AS (SELECT name_row_id, name_uri FROM ({SQL['name_levels']}) WHERE level = 0), g AS ({text_queries.SQL['citation_guard']}), a AS ({text_queries.SQL['full_authority']}), r AS ({text_queries.SQL['taxon_relation']}), e AS ({text_queries.SQL['epithet_check']})
+SELECT docid AS doc_path, 2 * name_row_id AS ord, CASE WHEN name_uri IS NULL THEN 'F' WHEN refused THEN 'R' WHEN authority = 'INVALID' THEN 'I' WHEN relation = 'CITES' THEN 'C' WHEN relation = 'DEPRECATES' THEN 'D' ELSE 'S' END AS class, name_uri
+ FROM taxon_names JOIN u USING (name_row_id) JOIN g USING (name_row_id) JOIN a USING (name_row_id) JOIN r USING (name_row_id) WHERE taxon_role = 'citation' AND docid IS NOT NULL
+UNION ALL SELECT docid, -1, CASE WHEN errors <> '' THEN 'X' WHEN name_uri IS NULL THEN 'F' ELSE 'T' END, name_uri FROM ({_FIRST}) JOIN u USING (name_row_id) JOIN e USING (name_row_id)""")
+def taxa_of_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Each treated and cited taxon of all documents with what is to be done with it, by the operator
+    of the graph: T treated, X of a bad name, F without address, R refused, I a name only, C cited,
+    D deprecated, S left alone."""
+    return events(_taxon_nodes(spark, d), T.DEFAULT_HOST).select("doc_path", "ord", "class", F.col("tnuri").alias("name_uri"))
+
+
+@query(f"""WITH l AS ({SQL['name_levels']}), a AS ({text_queries.SQL['full_authority']}), s AS (SELECT name_row_id, authority, list_extract(string_split(split_part(split_part(split_part(authority, ')', 1), ' &', 1), ',', 1), ' '), -1) AS n, regexp_extract(authority, '[0-9]+') AS year FROM a)
+SELECT name_row_id, CASE WHEN name_uri IS NOT NULL THEN {uri_sql("('http://taxon-concept.example.org/id/' || CASE WHEN " + present_sql("kingdom") + " THEN kingdom ELSE 'INVALID' END || ending || '_' || " + part_sql(r"CASE WHEN regexp_extract(n, '\(?\p{L}+') <> '' THEN regexp_extract(n, '\(?\p{L}+') ELSE n END") + " || '_' || year)")} END AS address
+ FROM (SELECT name_row_id, name_uri FROM l WHERE level = 0) JOIN s USING (name_row_id) JOIN taxon_names USING (name_row_id) JOIN ({_ENDINGS} SELECT name_row_id, ending FROM e WHERE level = 0) USING (name_row_id)""")
+def concept_addresses(spark: SparkSession, d: str) -> DataFrame:
+    """The addresses of all taxa's concepts, by their authorities as cited ones."""
+    t = table(spark, d, "taxon_names")
+    attrs = F.map_filter(F.create_map(*(x for k, v in TAXON.items() for x in (F.lit(k), F.col(v)))), lambda k, v: v.isNotNull())
+    none = F.lit(None).cast("string")
+    a = t.select("name_row_id", attrs.alias("attrs"), T.full_authority({k: F.col(TAXON[k]) for k in ("authorityName", "authorityYear", "kingdom")}, none, none, False).alias("authority"))
+    short = F.concat(F.lit("_"), T.authority_for_uri("authority"), F.lit("_"), T.partial_uri(T.first_year("authority")))
+    return a.select("name_row_id", concept_uri(short).alias("address"))
+
+
 # --- sinks --------------------------------------------------------------------------
 
 

@@ -309,6 +309,18 @@ _NAMED = f"""WITH s AS (SELECT name_row_id, authorityname, authorityyear, CASE W
  SELECT name_row_id, CASE WHEN authorityyear IS NULL THEN a ELSE a || ', ' || authorityyear END AS full FROM r"""
 
 
+# authors with words and parts in brackets of every form, made of the fields of each taxon
+_WORDED = "concat(coalesce(authorityname, ''), CASE name_row_id % 5 WHEN 0 THEN ' in Smith & al. 1900' WHEN 1 THEN ' (ex Jones)' WHEN 2 THEN ' (not closed' WHEN 3 THEN ' opened) here' ELSE '' END)"
+
+
+@query(f"""WITH w AS (SELECT name_row_id, {_WORDED} AS w FROM taxon_names), s AS (SELECT name_row_id, w, regexp_replace(w, '\\bin\\b[^0-9]*', '') AS a FROM w), i AS (SELECT name_row_id, w AS a, a AS stripped, {_INSIDE.replace('(a,', '(w,')} AS inside FROM s)
+SELECT name_row_id, CASE WHEN stripped = 'L.' THEN 'Linnaeus' ELSE stripped END AS stripped, CASE WHEN regexp_matches(a, '[()]') AND regexp_matches(inside, '[a-zA-Z]') AND inside <> a THEN trim(left(a, instr(a, inside) - 1) || substr(a, instr(a, inside) + length(inside))) ELSE a END AS bare FROM i""")
+def authority_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Authors without their 'in ...' and without their brackets."""
+    w = table(spark, d, "taxon_names").select("name_row_id", F.expr(_WORDED).alias("w"))
+    return w.select("name_row_id", T.strip_in(F.col("w")).alias("stripped"), T.remove_bracketed(F.col("w")).alias("bare"))
+
+
 @query("SELECT n.name_row_id, CASE WHEN coalesce(f.authority, '') = '' THEN 'INVALID' ELSE " + norm_sql("f.authority") + " END AS authority FROM taxon_names n LEFT JOIN (" + AUTHORITY_SQL.format(key="name_row_id", c='"full"', src=f"({_NAMED})").strip() + ") f USING (name_row_id)")
 def full_authority(spark: SparkSession, d: str) -> DataFrame:
     """Authorities of all taxa, as cited ones."""
