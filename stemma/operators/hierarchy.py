@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stemma.functions.text import DEFAULT_HOST, NAME_MARK, RANK_MARK, let, normalize_space, partial_uri, present, remove_punctuation, string_literal, uri
+from stemma.sources.tables import cut
 
 # --- fixed values: the ranks in order, and those whose names have several parts -----
 RANKS = ("kingdom", "phylum", "subPhylum", "class", "subClass", "order", "subOrder", "superFamily", "family", "subFamily", "tribe", "subTribe", "genus", "subGenus", "section", "subSection", "series", "species", "undef-species", "subSpecies", "variety", "form")
@@ -109,3 +110,21 @@ def name_statements(leveled: DataFrame) -> DataFrame:
     above = F.array(*(F.when(F.array_contains(F.slice("_v", F.lit(1), F.greatest(F.size("_v") - F.col("level"), F.lit(0))), r), pair(F.lit(f"dwc:{r}"), lit(F.lit(r)))) for r in ("genus", "kingdom")), F.when(F.col("level_rank").isNotNull(), pair(F.concat(F.lit("dwc:"), F.col("level_rank")), lit(F.col("level_rank")))))
     always = F.array(F.when(F.col("level_rank").isNotNull(), pair(F.lit("dwc:rank"), string_literal(F.col("level_rank")))), F.when(F.col("parent_uri").isNotNull(), pair(F.lit("trt:hasParentName"), F.col("parent_uri"))), F.when(F.col("dead_end"), pair(F.lit("# Warning:"), F.lit("Could not determine parent name"))), pair(F.lit("a"), F.lit("dwcFP:TaxonName")))
     return leveled.withColumn("props", F.array_compact(F.concat(F.when(F.col("level") == 0, F.concat(own, short, ignored)).otherwise(above), always)))
+
+
+def ancestors(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """(node, ancestor, distance): all ancestors of each node of an adjacency list, the nearest
+    way counting.
+
+    One join per level, each level written to the shared folder, until a level adds nothing; no
+    bound on levels or rows. Null ends are left out, repeated edges count once; on a circle each
+    node is its own ancestor at last.
+    """
+    one = cut(edges.where(F.col(child).isNotNull() & F.col(parent).isNotNull()).select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).distinct())
+    step = one.select(F.col("node").alias("_a"), F.col("ancestor").alias("_up"))
+    last = known = one.withColumn("distance", F.lit(1))
+    while last.limit(1).count():
+        up = last.join(step, last["ancestor"] == step["_a"]).select("node", F.col("_up").alias("ancestor"), (F.col("distance") + 1).alias("distance")).distinct()
+        last = cut(up.join(known.select("node", "ancestor"), ["node", "ancestor"], "left_anti"))
+        known = known.unionByName(last)
+    return known

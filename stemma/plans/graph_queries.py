@@ -9,7 +9,7 @@ from stemma.functions import text as T
 from stemma.operators import tree
 from stemma.operators.flatten import flatten_all, flatten_records
 from stemma.operators.graph import LANGUAGES, MATERIAL_TERMS, NOT_COPIED, TEXT_TAGS, attribute_statements, citation_sets, cited_taxa, comments, diagnostics, document_rows, document_status, events, listed, material_statements, statements, treated_taxa
-from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, concept_uri, levels, with_parents
+from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, ancestors, concept_uri, levels, with_parents
 from stemma.operators.status import apply_changes, latest, parse_status, status_lines, upsert
 from stemma.operators.turtle import documents_turtle, subject_blocks
 from stemma.plans import text_queries
@@ -249,10 +249,10 @@ _TREE = """WITH RECURSIVE edges AS (SELECT 'n' || n_nationkey AS child, 'r' || n
 
 @query(_TREE)
 def hierarchy_recursive(spark: SparkSession, d: str) -> DataFrame:
-    """All ancestors in an adjacency list, by a recursive query."""
+    """All ancestors in an adjacency list, level by level."""
     n = table(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("child"), F.concat(F.lit("r"), "n_regionkey").alias("parent"))
     s = table(spark, d, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("child"), F.concat(F.lit("n"), "s_nationkey").alias("parent"))
-    return spark.sql("WITH RECURSIVE up(node, ancestor, distance) AS (SELECT child, parent, 1 FROM {e} UNION ALL SELECT up.node, e.parent, up.distance + 1 FROM up JOIN {e} e ON e.child = up.ancestor) SELECT node, ancestor, distance FROM up", e=n.unionByName(s))
+    return ancestors(n.unionByName(s))
 
 
 _NAMED = [k for k in RANKS if k in TAXON]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stemma.functions import text as T
 from stemma.operators import tree
 from stemma.operators.graph import TEXT_TAGS, citation_sets, comments, diagnostics, document_status, events, statements
-from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, levels
+from stemma.operators.hierarchy import RANKS, SPECIES_GROUP, ancestors, levels
 from stemma.operators.turtle import documents_turtle
 from stemma.sources.tables import cut
 
@@ -260,3 +260,10 @@ def test_json_records_are_read_as_their_xml(spark):
     for r in tree.nodes(df, form="any").orderBy("doc_path", "node_id").collect():
         got[r.doc_path].append(tuple(r)[1:])
     assert got["j"] == got["x"] and len(got["j"]) == 11
+
+
+def test_ancestors_of_deep_and_circular_lists(spark):
+    edges = [(k, k + 1) for k in range(12)] + [(100, 101), (101, 102), (102, 100), (3, 4), (None, 1), (5, None)]
+    got = {(r.node, r.ancestor): r.distance for r in ancestors(spark.createDataFrame(edges, "child int, parent int")).collect()}
+    want = {(a, b): b - a for a in range(12) for b in range(a + 1, 13)} | {(a, b): ((b - a) % 3) or 3 for a in (100, 101, 102) for b in (100, 101, 102)}
+    assert got == want and ancestors(spark.createDataFrame([], "child int, parent int")).count() == 0
