@@ -8,11 +8,12 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from xml.parsers import expat
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NODES = "doc_path string, node_id int, parent_id int, depth int, tag string, sib_ord int, ancestors array<struct<node_id:int,tag:string,type:string>>, attrs map<string,string>, attr_names array<string>, text string, subtree_end int"
+_ARROW = pa.schema([("doc_path", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("sib_ord", pa.int32()), ("ancestors", pa.list_(pa.struct([("node_id", pa.int32()), ("tag", pa.string()), ("type", pa.string())]))), ("attrs", pa.map_(pa.string(), pa.string())), ("attr_names", pa.list_(pa.string())), ("text", pa.string()), ("subtree_end", pa.int32())])
 _BLANKS = re.compile(r"\s+")
 _MODS = re.compile(r"(</?)mods:")
 #: HTML elements that never have an end tag (fixed values).
@@ -156,26 +157,26 @@ def nodes(documents: DataFrame, path: str = "doc_path", content: str = "content"
     parse = {"xml": parse_xml, "html": parse_html, "json": parse_json}.get(form, lambda t, kept: (parse_json if t.lstrip("﻿ \t\r\n")[:1] == "{" else parse_xml)(t, kept))
     kept = None if texts is None else frozenset(texts)
 
-    def frame(rows: list[dict]) -> pd.DataFrame:
-        made = pd.DataFrame(rows)
-        made["text"] = ["".join(t) for t in made["text"]]
-        made["parent_id"] = made["parent_id"].astype("Int32")
-        return made[["doc_path", *(c for c in made.columns if c != "doc_path")]]
+    def batch(rows: list[dict]) -> pa.RecordBatch:
+        columns = {c: [row[c] for row in rows] for c in _ARROW.names}
+        columns["text"] = ["".join(t) for t in columns["text"]]
+        columns["attrs"] = [list(a.items()) for a in columns["attrs"]]
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in _ARROW], schema=_ARROW)
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for b in batches:
-            for p, text in zip(b["_p"], b["_c"]):
+            for p, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for row in parse(text, kept) if text and text.strip() else []:
                     row["doc_path"] = p
                     held.append(row)
                 if len(held) >= BATCH:
-                    yield frame(held)
+                    yield batch(held)
                     held = []
         if held:
-            yield frame(held)
+            yield batch(held)
 
-    return documents.select(F.col(path).cast("string").alias("_p"), F.col(content).cast("string").alias("_c")).mapInPandas(work, NODES)
+    return documents.select(F.col(path).cast("string").alias("_p"), F.col(content).cast("string").alias("_c")).mapInArrow(work, NODES)
 
 
 def below(*tags: str) -> Column:
