@@ -163,18 +163,13 @@ def authority_for_uri(c: Column | str) -> Column:
     return let(a, lambda x: partial_uri(F.coalesce(F.nullif(F.regexp_extract(x, r"\(?\p{L}+", 0), F.lit("")), x)))
 
 
-def _named(name: Column, year: Column, date: Column, defining: bool, has_year: Column, brackets: bool) -> Column:
+def _named(name: Column, year: Column, date: Column, defining: Column, has_year: Column, brackets: bool) -> Column:
     a = title_case_shouted(strip_in(name))
     a = remove_bracketed(a) if brackets else a
+    return let(a, lambda x: F.when(has_year, F.concat(x, F.lit(", "), year)).when(defining & ~x.rlike("[0-9]"), F.concat(x, F.lit(", "), F.coalesce(date, F.lit("null")))).otherwise(x))
 
-    def dated(x: Column) -> Column:
-        late = F.when(~x.rlike("[0-9]"), F.concat(x, F.lit(", "), F.coalesce(date, F.lit("null")))).otherwise(x) if defining else x
-        return F.when(has_year, F.concat(x, F.lit(", "), year)).otherwise(late)
 
-    return let(a, dated)
-
-
-def full_authority(attrs: dict[str, Column], doc_author: Column, doc_date: Column, defining: bool = True) -> Column:
+def full_authority(attrs: dict[str, Column], doc_author: Column, doc_date: Column, defining: bool | Column = True) -> Column:
     """The readable authority of a taxon; 'INVALID' if there is none.
 
     attrs: authorityName, authorityYear, baseAuthorityName, baseAuthorityYear, authority,
@@ -182,12 +177,14 @@ def full_authority(attrs: dict[str, Column], doc_author: Column, doc_date: Colum
     of animals keeps the base authority alone, others get both.
     """
     get = lambda k: attrs.get(k, F.lit(None).cast("string"))
+    never = defining is False
+    defining = F.lit(defining) if isinstance(defining, bool) else F.coalesce(defining, F.lit(False))
     name, year, base_name, base_year, other, kingdom = (get(k) for k in ("authorityName", "authorityYear", "baseAuthorityName", "baseAuthorityYear", "authority", "kingdom"))
     base = let(remove_bracketed(title_case_shouted(strip_in(base_name))), lambda x: F.when(base_year.isNotNull(), F.concat(x, F.lit(", "), base_year)).otherwise(x))
     base = F.when(present(base_name), normalize_authority(F.concat(F.lit("("), base, F.lit(")"))))
     named = F.when(present(name), normalize_authority(_named(name, year, doc_date, defining, year.isNotNull(), True)))
     single = normalize_authority(_named(other, year, doc_date, defining, year.isNotNull(), False))
-    fallback = normalize_authority(F.concat(shorten_authors(doc_author), F.lit(", "), F.coalesce(doc_date, F.lit("null")))) if defining else F.lit("INVALID")
+    fallback = F.lit("INVALID") if never else F.when(defining, normalize_authority(F.concat(shorten_authors(doc_author), F.lit(", "), F.coalesce(doc_date, F.lit("null"))))).otherwise("INVALID")
 
     def chosen(x: Column) -> Column:
         b, o = x["base"], x["own"]

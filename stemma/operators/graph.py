@@ -108,7 +108,7 @@ def events(nodes: DataFrame, host: str) -> DataFrame:
     defining = (F.col("ord") == -1) & is_defining(F.col("taxon_status"))
     a = {k: attr(k) for k in ("authorityName", "authorityYear", "baseAuthorityName", "baseAuthorityYear", "authority", "kingdom")}
     author, date = F.try_element_at("d", F.lit("docAuthor")), F.try_element_at("d", F.lit("docDate"))
-    e = e.withColumn("defining", defining).withColumn("authority", F.when(defining, T.full_authority(a, author, date, True)).otherwise(T.full_authority(a, author, date, False)))
+    e = e.withColumn("defining", defining).withColumn("authority", T.full_authority(a, author, date, F.col("defining")))
     e = e.withColumn("notes", T.authority_notes(a, F.coalesce(F.col("defining"), F.lit(False))))
     e = e.withColumn("year", T.first_year("authority")).withColumn("rank_group", T.rank_group(attr))
     e = e.withColumn("relation", T.taxon_relation(attr, lambda k: attr(k, "t_attrs"), F.col("ord") >= 0, F.col("t_attrs").isNotNull()))
